@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, the same in SQL."""
 
-from axisforge.llm import exact, mixing, sharding, urls
+from axisforge.llm import ann, bpe, exact, language, mixing, sharding, urls
 from axisforge.llm.common import ship
 
 
@@ -17,7 +17,10 @@ QUERIES = {
     for f in (
         sharding.op1_lpt_shards,
         mixing.op3_water_fill_mix,
+        ann.op4_inverted_multi_index,
+        bpe.op5_prefix_bpe,
         urls.op6_redirect_url_filter,
+        language.op7_fused_language_id,
         exact.op8_content_sort_dedup,
     )
 }
