@@ -46,7 +46,8 @@ def water_fill_mix(docs: DataFrame, weights: DataFrame, share: float, epochs: fl
     nearest to the rest. taken = (whole + extra) * size.
 
     A source's sums are partial aggregates by bins of the hash; only the one bin in which
-    the rest ends is sorted, so that a source may hold any share of the rows. Null sources
+    the rest ends is sorted, so that a source may hold any share of the rows. Documents meet
+    a plan of one row for each source. Null sources
     are a source of their own; one without a weight gets the target 0. Null sizes count as
     0. Equal rows tie; columns with the names of the results are replaced.
     """
@@ -73,13 +74,16 @@ def water_fill_mix(docs: DataFrame, weights: DataFrame, share: float, epochs: fl
     start = bins.withColumn("_af_from", F.coalesce(F.sum("_af_sum").over(by_bin), F.lit(0)))
     p = plan.withColumnRenamed("_af_s", "_af_p")
     start = start.join(p, start._af_s.eqNullSafe(p._af_p)).drop("_af_p")
-    # Wholly below the rest, wholly above it, or cut by it.
-    part = F.when(F.col("_af_from") + F.col("_af_sum") <= F.col("_af_rest"), 1).when(F.col("_af_from") >= F.col("_af_rest"), 0).otherwise(2)
-    bin_plan = written(start.withColumn("_af_part", part).drop("_af_sum").withColumnRenamed("_af_bin", "_af_b"), "mix-plan")
-    got = base.join(bin_plan, F.col(f"`{source}`").eqNullSafe(F.col("_af_s")) & (F.col("_af_bin") == F.col("_af_b")))
-    sure = got.where("_af_part < 2").withColumn("extra", F.col("_af_part").cast("long"))
-    upto = Window.partitionBy("_af_s", "_af_b").orderBy("_af_turn", "size").rowsBetween(Window.unboundedPreceding, 0)
-    cut = got.where("_af_part = 2").withColumn("_af_upto", F.col("_af_from") + F.sum("size").over(upto))
+    # Bins up to `last` lie wholly within the rest; the rest ends in the bin `cut`, if it ends in one at all.
+    within = F.col("_af_from") + F.col("_af_sum") <= F.col("_af_rest")
+    ends = ~within & (F.col("_af_from") < F.col("_af_rest"))
+    cuts = F.max(F.when(within, F.col("_af_bin"))).alias("_af_last"), F.max(F.when(ends, F.col("_af_bin"))).alias("_af_cut"), F.max(F.when(ends, F.col("_af_from"))).alias("_af_from")
+    plan = written(start.groupBy("_af_s", "source_size", "target", "whole", "_af_rest").agg(*cuts), "mix-plan")
+    got = base.join(plan, F.col(f"`{source}`").eqNullSafe(F.col("_af_s")))
+    in_cut = F.coalesce(F.col("_af_bin") == F.col("_af_cut"), F.lit(False))
+    sure = got.where(~in_cut).withColumn("extra", F.coalesce((F.col("_af_bin") <= F.col("_af_last")).cast("long"), F.lit(0)))
+    upto = Window.partitionBy("_af_s").orderBy("_af_turn", "size").rowsBetween(Window.unboundedPreceding, 0)
+    cut = got.where(in_cut).withColumn("_af_upto", F.col("_af_from") + F.sum("size").over(upto))
     cut = cut.withColumn("extra", (F.col("_af_upto") - F.col("size") / 2.0 <= F.col("_af_rest")).cast("long")).drop("_af_upto")
     out = sure.unionByName(cut)
     return out.select(*cols, "size", "source_size", "target", "whole", "extra", ((F.col("whole") + F.col("extra")) * F.col("size")).alias("taken"))

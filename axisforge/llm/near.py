@@ -335,6 +335,12 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carr
     return out.select(*[F.col(f"`{c}`") for c in names], own.alias("class_id"), (own.isNull() | (own == F.col("_af_own"))).alias("kept"))
 
 
+def near_filter(docs: DataFrame) -> DataFrame:
+    """docs less the near-duplicates of documents with smaller ids; columns as they were. Only the ids to drop meet the texts."""
+    drop = written(near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_af_drop")), "near-drop")
+    return docs.join(drop, F.col("doc_id") == F.col("_af_drop"), "left_anti")
+
+
 def op10_icws_near_dedup(spark, sf_dir):
     from axisforge.llm.common import table
 
