@@ -108,3 +108,63 @@ def in_chunks(texts, size: int = SLICE):
         held += len(t) + 1
     if lo < len(texts):
         yield lo, len(texts)
+
+
+def _murmur(words: list[np.ndarray], size: int) -> np.ndarray:
+    u = np.uint32
+    h = np.full(len(words[0]), 42, dtype=u)
+    turn = lambda x, n: (x << u(n)) | (x >> u(32 - n))
+    for k in words:
+        h ^= turn(k * u(0xCC9E2D51), 15) * u(0x1B873593)
+        h = turn(h, 13) * u(5) + u(0xE6546B64)
+    h ^= u(size)
+    h ^= h >> u(16)
+    h *= u(0x85EBCA6B)
+    h ^= h >> u(13)
+    h *= u(0xC2B2AE35)
+    return (h ^ (h >> u(16))).view(np.int32)
+
+
+def hash_longs(x: np.ndarray) -> np.ndarray:
+    """What F.hash gives for a bigint column."""
+    x = x.astype(np.int64).view(np.uint64)
+    return _murmur([x.astype(np.uint32), (x >> np.uint64(32)).astype(np.uint32)], 8)
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """What F.pmod(F.hash(key), parts) gives for a bigint column."""
+    return np.mod(hash_longs(keys).astype(np.int64), parts).astype(np.int32)
+
+
+def part_keys(parts: int) -> list[int]:
+    """A number for each part that a shuffle by it into `parts` partitions sends to the partition of that number."""
+    out, left, lo = [-1] * parts, parts, 0
+    while left:
+        x = np.arange(lo, lo + 16 * parts, dtype=np.int32)
+        for v, p in zip(x.tolist(), np.mod(_murmur([x.view(np.uint32)], 4).astype(np.int64), parts).tolist(), strict=True):
+            if out[p] < 0:
+                out[p] = v
+                left -= 1
+        lo += 16 * parts
+    return out
+
+
+def groups(keys: np.ndarray):
+    """(key, rows) of equal keys."""
+    order = np.argsort(keys, kind="stable")
+    cuts = np.flatnonzero(np.diff(keys[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else ():
+        yield int(keys[rows[0]]), rows
+
+
+def starts(*columns: np.ndarray) -> np.ndarray:
+    """A mask of where runs of equal rows of sorted columns begin."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def spread(values: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """A value for each run, given where runs start, as a value for each of the n rows."""
+    return np.repeat(values, np.diff(np.append(first, n)))

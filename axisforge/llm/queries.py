@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, the same in SQL."""
 
-from axisforge.llm import ann, bpe, exact, language, mixing, near, sharding, urls
+from axisforge.llm import ann, bpe, exact, language, mixing, near, sharding, suffix, urls
 from axisforge.llm.common import ship
 
 
@@ -16,6 +16,7 @@ QUERIES = {
     f.__name__: _query(f)
     for f in (
         sharding.op1_lpt_shards,
+        suffix.op2_suffix_lpf_dedup,
         mixing.op3_water_fill_mix,
         ann.op4_inverted_multi_index,
         bpe.op5_prefix_bpe,
