@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, the same in SQL."""
 
-from axisforge.llm import ann, bpe, exact, language, mixing, near, sharding, suffix, urls
+from axisforge.llm import ann, bpe, exact, language, mixing, near, quality, sharding, suffix, urls
 from axisforge.llm.common import ship
 
 
@@ -23,6 +23,7 @@ QUERIES = {
         urls.op6_redirect_url_filter,
         language.op7_fused_language_id,
         exact.op8_content_sort_dedup,
+        quality.op9_kneser_ney_quality,
         near.op10_icws_near_dedup,
     )
 }
