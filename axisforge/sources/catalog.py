@@ -42,7 +42,7 @@ def read_filesets(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def list_folder(spark: SparkSession, base: str, ending: str = ".root", only: list[str] | None = None, strip_at: str = "", tree: str = "events", redirector: str = "") -> DataFrame:
-    """(dataset, path, tree) of the files below each subfolder of base, named after the subfolder up to the marker."""
+    """(dataset, path, tree) of the files below each subfolder of base, named after the subfolder up to the marker; files without content are left out."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{ending}").load(base).select("path")
     plain = F.regexp_replace("path", r"^[a-z0-9]+:/*", "/")
     root = "/" + base.split("://", 1)[-1].strip("/")
