@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import struct
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that are hashed at once; longer texts are hashed in slices that end at white space.
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -22,11 +24,16 @@ def pack(*arrays: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def unpack(blob: bytes) -> list[np.ndarray]:
-    out, at = [], 0
+def unpack(blob: bytes, only: tuple[int, ...] | None = None) -> list[np.ndarray]:
+    """The packed arrays, or those numbered in `only`."""
+    out, at, i = [], 0, -1
     while at < len(blob):
+        i += 1
         kind, n, size = struct.unpack_from("<2sQQ", blob, at)
         at += struct.calcsize("<2sQQ")
+        if only is not None and i not in only:
+            at += size
+            continue
         dtype = np.dtype("<" + kind.decode())
         planes = np.frombuffer(zstandard.decompress(blob[at : at + size]) if n else b"", dtype=np.uint8)
         out.append(np.ascontiguousarray(planes.reshape(dtype.itemsize, n).T).reshape(-1).view(dtype))
@@ -34,6 +41,27 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def repeated(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each of the arrays, a mask of the values that occur twice or more in all of them together."""
+    whole = np.concatenate(parts)
+    order = np.argsort(whole, kind="stable")
+    whole = whole[order]
+    same = whole[1:] == whole[:-1]
+    mask = np.zeros(len(whole), dtype=bool)
+    mask[order[1:]] = same
+    mask[order[:-1]] |= same
+    return np.split(mask, np.cumsum([len(p) for p in parts])[:-1])
+
+
+def lean_memory() -> None:
+    """Makes this process give freed memory back to the system: workers live on after a task, beside the JVM's heap."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):  # glibc
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: larger blocks are unmapped once they are freed
+        libc.malloc_trim(0)
+
+
 def steps(a: np.ndarray) -> np.ndarray:
     """Differences of an ascending unsigned array, which np.cumsum undoes."""
     return np.diff(a, prepend=a.dtype.type(0))
@@ -98,6 +126,27 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8), starts
 
 
+#: Bytes of text of which what is found is sorted and packed at once.
+RUN = 1 << 23
+
+
+def runs(batches):
+    """(rows of numbers [column][row], texts as bytes) of about RUN bytes, from Arrow batches of long columns and a text."""
+    numbers, texts, held = [], [], 0
+    for batch in batches:
+        own = [t or b"" for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
+        columns = np.array([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns - 1)], dtype=np.int64).reshape(batch.num_columns - 1, -1)
+        for lo, hi in in_chunks(own, RUN):
+            numbers.append(columns[:, lo:hi])
+            texts += own[lo:hi]
+            held += sum(map(len, own[lo:hi]))
+            if held >= RUN:
+                yield np.concatenate(numbers, axis=1), texts
+                numbers, texts, held = [], [], 0
+    if texts:
+        yield np.concatenate(numbers, axis=1), texts
+
+
 def in_chunks(texts, size: int = SLICE):
     """Runs (first, last) of texts with about `size` bytes together; a longer text is a run of its own."""
     lo, held = 0, 0

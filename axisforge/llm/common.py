@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,11 +40,28 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+#: While an intermediate result is written: its shuffles go when it is there, and Python gets texts in small batches.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and returns the table: lineage ends here, lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/axisforge/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(spark, WRITING):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -77,21 +95,12 @@ def ranked(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
     )
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of edges (a, b): rows (node, component), component the smallest node.
-
-    Alternating large-star and small-star steps (Kiveris et al., 2014): each keeps the
-    components and points nodes at smaller ones, until only stars are left, which takes
-    about log(n) rounds. Minima are grouped aggregates, so that a node of any degree never
-    gathers in one task, and each round's edges are a written table. Loops and edges with
-    a null end are left out; nodes without any other edge don't appear.
-    """
-    spark = edges.sparkSession
-    edges = edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = written(edges, name)
-    mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-    now = mark(edges)
-    while now[0]:
+def _contracted(edges: DataFrame, name: str) -> DataFrame:
+    """Stars (a, b) with the components of edges (a > b), b the smallest node: large-star and small-star steps by turns."""
+    while True:
+        many, n = edges.groupBy("a").count().agg(F.count_if(F.col("count") > 1), F.count(F.lit(1))).first()
+        if not n or (not many and edges.join(edges.select(F.col("b").alias("n")), F.col("a") == F.col("n"), "left_semi").isEmpty()):
+            return edges
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -99,8 +108,25 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         met = large.join(low, "a")
         small = met.select("a", F.col("m").alias("b")).unionByName(met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         edges = written(small, name)
-        before, now = now, mark(edges)
-        if before == now:
-            break
-    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return ends.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """Connected components of edges (a, b): rows (node, component), component the smallest node.
+
+    Each node first points at its smallest neighbour; its other neighbours are joined to that
+    one. What nothing points at is a leaf, which only learns its component at the end. The
+    rest, often a small part, is contracted by large-star and small-star steps (Kiveris et
+    al., 2014) in about log(n) rounds. Minima are grouped aggregates, so that a node of any
+    degree never gathers in one task, and each round's edges are a written table. Loops and
+    edges with a null end are left out; nodes without any other edge don't appear.
+    """
+    edges = edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = written(edges.distinct(), name)
+    tree = written(edges.groupBy("a").agg(F.min("b").alias("m")), name)
+    core = written(edges.join(tree, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+    hubs = tree.select(F.col("m").alias("n")).unionByName(core.select(F.col("a").alias("n"))).distinct()
+    hubs = written(hubs, name)
+    graph = written(core.unionByName(tree.join(hubs, tree.a == hubs.n, "left_semi").withColumnRenamed("m", "b")).distinct(), name)
+    stars = _contracted(graph, name).select(F.col("a").alias("_s"), F.col("b").alias("_to"))
+    nodes = tree.select(F.col("a").alias("node"), F.col("m").alias("up")).unionByName(hubs.select(F.col("n").alias("node"), F.col("n").alias("up")))
+    return nodes.join(stars, F.col("up") == F.col("_s"), "left").select("node", F.coalesce("_to", "up").alias("component")).distinct()

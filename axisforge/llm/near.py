@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axisforge.llm.blobs import in_chunks, joined, mix, pack, steps, unpack, word_hashes
+from axisforge.llm.blobs import groups, in_chunks, joined, lean_memory, mix, pack, part_keys, part_of, repeated, runs, starts, steps, unpack, word_hashes
 from axisforge.llm.common import components, partitions, without, written
 
 #: Words in a shingle, and the least similarity of near-duplicates.
@@ -21,8 +21,8 @@ BANDS, ROWS = 16, 4
 BITS = 56
 #: Members of one representative that are verified in one block.
 MEMBERS = 512
-#: Pairs at most for each document in one round of the search for links that representatives don't show.
-ROUND = 8
+#: Documents of the largest bucket of which those in different classes are compared in pairs, and of a block of larger ones.
+CROWD, BLOCK = 64, 512
 
 _RANDOM = np.random.default_rng(7)
 _SEEDS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -37,9 +37,9 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
     """
     out = []
     for lo, hi in in_chunks(texts):
-        data, starts = joined(texts[lo:hi])
+        data, begin = joined(texts[lo:hi])
         at, words_ = word_hashes(data)
-        doc = np.searchsorted(starts, at, side="right") - 1
+        doc = np.searchsorted(begin, at, side="right") - 1
         n = np.bincount(doc, minlength=hi - lo)
         first = np.cumsum(n) - n
         short = np.flatnonzero((n > 0) & (n < words))
@@ -58,12 +58,10 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
         h = mix(h) >> np.uint64(64 - BITS)
         order = np.lexsort((h, d))
         h, d = h[order], d[order]
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-        at = np.flatnonzero(new)
-        out.append((d[at] + lo, h[at], np.diff(np.append(at, len(h))).astype(np.uint32)))
+        at = np.flatnonzero(starts(d, h))
+        out.append(((d[at] + lo).astype(np.int32), h[at], np.diff(np.append(at, len(h))).astype(np.uint32)))
     if not out:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
+        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -114,18 +112,6 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _chunk(ids: np.ndarray, chunks: int) -> np.ndarray:
-    return (mix(ids.view(np.uint64) + np.uint64(1)) % np.uint64(chunks)).astype(np.int32)
-
-
-def _split(keys: np.ndarray):
-    """(key, rows) of equal keys."""
-    order = np.argsort(keys, kind="stable")
-    cuts = np.flatnonzero(np.diff(keys[order])) + 1
-    for rows in np.split(order, cuts) if len(order) else ():
-        yield int(keys[rows[0]]), rows
-
-
 def weighted_sets(docs: DataFrame, doc_id: str, text: str, similar: float) -> DataFrame:
     """(doc_id, total, shared, bands) of the documents that can have a near-duplicate.
 
@@ -138,67 +124,65 @@ def weighted_sets(docs: DataFrame, doc_id: str, text: str, similar: float) -> Da
     """
     spark = docs.sparkSession
     parts = max(1, partitions(spark))
+    to = np.array(part_keys(parts))
     total_docs = docs.count()
     bounds = np.array([-(-(b << BITS) // parts) for b in range(1, parts)], dtype=np.uint64)
     schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 
     def emit(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
+        lean_memory()
+        for (ids,), texts in runs(batches):
             doc, h, n = shingles(texts)
             rows = []
             sums = np.bincount(doc, weights=n, minlength=len(ids)).astype(np.uint64)
             distinct = np.bincount(doc, minlength=len(ids)).astype(np.uint64)
             some = np.flatnonzero(distinct)
-            for chunk, at in _split(_chunk(ids[some], parts)):
+            for part, at in groups(part_of(ids[some], parts)):
                 at = some[at]
-                rows.append((chunk, 1, pack(ids[at], distinct[at], sums[at])))
+                rows.append((int(to[part]), 1, pack(ids[at], distinct[at], sums[at])))
             order = np.argsort(h, kind="stable")
             h, doc, n = h[order], doc[order].astype(np.uint32 if len(ids) > 65535 else np.uint16), n[order]
             cuts = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
             for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if b > a:
                     many = np.flatnonzero(n[a:b] > 1).astype(np.uint32)
-                    rows.append((part, 0, pack(ids, steps(h[a:b]), doc[a:b], many, n[a:b][many])))
-            # Few rows at a time: blobs are large.
-            for lo in range(0, len(rows), 64):
-                c = list(zip(*rows[lo : lo + 64], strict=True))
+                    own, local = np.unique(doc[a:b], return_inverse=True)
+                    rows.append((int(to[part]), 0, pack(ids[own], steps(h[a:b]), local.astype(doc.dtype), many, n[a:b][many])))
+            c = zip(*rows, strict=True)
+            if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(c, schema, strict=True)], schema=schema)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, hs, ds, ns = [], [], [], []
-        for kind, blob in zip(pdf["kind"], pdf["blob"], strict=True):
-            if kind == 1:
-                out.append((int(pdf["part"].iloc[0]), 1, blob))
-                continue
-            ids, gaps, doc, many, occurs = unpack(blob)
-            n = np.ones(len(gaps), dtype=np.uint32)
-            n[many] = occurs
-            hs.append(np.cumsum(gaps))
-            ds.append(ids[doc])
-            ns.append(n)
-        if hs:
-            h, d, n = map(np.concatenate, (hs, ds, ns))
-            del hs, ds, ns
+        lean_memory()
+        kinds = pdf["kind"].to_numpy()
+        out = [(int(pdf["part"].iloc[0]), 1, b) for b in pdf["blob"][kinds == 1]]
+        blobs = list(pdf["blob"][kinds == 0])
+        if blobs:
+            # Most shingles occur in one document: the other columns are unpacked for the rest.
+            hs = [np.cumsum(unpack(b, (1,))[0]) for b in blobs]
+            cols = []
+            for i, keep in enumerate(repeated(hs)):
+                ids, doc, many, occurs = unpack(blobs[i], (0, 2, 3, 4))
+                n = np.ones(len(doc), dtype=np.uint32)
+                n[many] = occurs
+                cols.append((hs[i][keep], ids[doc[keep]], n[keep]))
+                hs[i] = None
+            h, d, n = map(np.concatenate, zip(*cols, strict=True))
             order = np.argsort(h, kind="stable")
-            h = h[order]
-            new = np.ones(len(h), dtype=bool)
-            new[1:] = h[1:] != h[:-1]
-            at = np.flatnonzero(new)
-            df = np.repeat(np.diff(np.append(at, len(h))), np.diff(np.append(at, len(h))))
-            keep = df > 1
-            order, h, df = order[keep], h[keep], df[keep].astype(np.uint32)
-            d, n = d[order], n[order]
-            for chunk, rows in _split(_chunk(d, parts)):
+            h, d, n = h[order], d[order], n[order]
+            df = np.diff(np.append(np.flatnonzero(starts(h)), len(h))).astype(np.uint32)
+            df = np.repeat(df, df)
+            for part, rows in groups(part_of(d, parts)):
                 rows = rows[np.argsort(d[rows], kind="stable")]
-                out.append((chunk, 0, pack(d[rows], h[rows], n[rows], df[rows])))
+                own, local = np.unique(d[rows], return_inverse=True)
+                out.append((int(to[part]), 0, pack(own, local.astype(np.uint32), h[rows], n[rows], df[rows])))
         return pd.DataFrame(out, columns=["part", "kind", "blob"])
 
     def sign(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols, totals = [], []
-        for kind, blob in zip(pdf["kind"], pdf["blob"], strict=True):
-            (totals if kind == 1 else cols).append(unpack(blob))
+        lean_memory()
+        kinds = pdf["kind"].to_numpy()
+        totals = [unpack(b) for b in pdf["blob"][kinds == 1]]
+        cols = [(own[local], h, n, df) for own, local, h, n, df in map(unpack, pdf["blob"][kinds == 0])]
         empty = pd.DataFrame({"doc_id": [], "total": [], "shared": [], "bands": []})
         if not cols:
             return empty
@@ -277,45 +261,106 @@ def similarities(pairs: DataFrame, sets: DataFrame, total_docs: int) -> DataFram
     return left.groupBy("block_a").cogroup(right.groupBy("block_b")).applyInPandas(weigh, "a bigint, b bigint, similarity double")
 
 
+def block_links(docs: DataFrame, sets: DataFrame, total_docs: int, similar: float) -> DataFrame:
+    """(a, b): links between documents of different classes in each crowd; docs: (doc_id, crowd, class).
+
+    Of a crowd's documents, those that aren't in its largest class are compared with all
+    others, in blocks of BLOCK by BLOCK documents: the intersections of a block are products
+    of matrices. For each document and class of the others one link is given.
+    """
+    sizes = docs.groupBy("crowd", "class").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("crowd").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    placed = docs.join(main, "crowd").withColumn("out", F.col("class") != F.col("main"))
+    blocks = lambda n: F.greatest(F.ceil(n / F.lit(BLOCK)), F.lit(1)).cast("int")
+    placed = placed.withColumn("outs", blocks(F.col("all") - F.col("most"))).withColumn("blocks", blocks(F.col("all")))
+    slot = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    placed = placed.join(sets.select("doc_id", "total", "shared"), "doc_id")
+    cols = ["class", "doc_id", "total", "shared"]
+    left = placed.where("out").select(F.col("crowd").alias("c1"), slot(F.col("outs")).alias("o1"), every(F.col("blocks")).alias("b1"), *[F.col(c).alias(f"{c}_1") for c in cols])
+    right = placed.select(F.col("crowd").alias("c2"), every(F.col("outs")).alias("o2"), slot(F.col("blocks")).alias("b2"), *[F.col(c).alias(f"{c}_2") for c in cols])
+
+    def side(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, hash, occurrences, document frequency) of all shingles of a block."""
+        cols = [unpack(b) for b in blobs]
+        row = np.repeat(np.arange(len(cols)), [len(c[0]) for c in cols])
+        return row, np.concatenate([np.cumsum(c[0]) for c in cols]), np.concatenate([c[1] for c in cols]), np.concatenate([c[2] for c in cols])
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            r1, h1, n1, _ = side(left["shared_1"])
+            r2, h2, n2, df = side(right["shared_2"])
+            words, first = np.unique(h2, return_index=True)
+            words, at = np.intersect1d(words, h1, return_indices=True)[:2]
+            weight = idf(df[first[at]], total_docs)
+            c1, c2 = np.searchsorted(words, h1), np.searchsorted(words, h2)
+            ok1, ok2 = (np.minimum(c, max(len(words) - 1, 0)) for c in (c1, c2))
+            ok1, ok2 = (words[ok1] == h1, words[ok2] == h2) if len(words) else (np.zeros(len(h1), bool), np.zeros(len(h2), bool))
+            both = np.zeros((len(left), len(right)))
+            for lo in range(0, len(words), 4096):
+                hi = min(lo + 4096, len(words))
+                m1, m2 = (ok1 & (c1 >= lo) & (c1 < hi)), (ok2 & (c2 >= lo) & (c2 < hi))
+                a, b = np.zeros((len(left), hi - lo)), np.zeros((len(right), hi - lo))
+                a[r1[m1], c1[m1] - lo], b[r2[m2], c2[m2] - lo] = n1[m1], n2[m2]
+                level = 0.0
+                for top in np.unique(n1[m1]).tolist():  # the lesser number of occurrences, level by level
+                    use = np.flatnonzero((a >= top).any(axis=0))
+                    both += ((a[:, use] >= top) * (weight[lo + use] * (top - level))) @ (b[:, use] >= top).T.astype(np.float64)
+                    part = b[:, use]
+                    between = (part > level) & (part < top)
+                    if between.any():  # occurrences of the right side between two levels of the left one
+                        both += np.einsum("iw,jw->ij", (a[:, use] >= top) * weight[lo + use], np.where(between, part - level, 0.0))
+                    level = top
+            sim = both / (left["total_1"].to_numpy()[:, None] + right["total_2"].to_numpy()[None, :] - both)
+            k1, k2, i1, i2 = (f[c].to_numpy() for f, c in ((left, "class_1"), (right, "class_2"), (left, "doc_id_1"), (right, "doc_id_2")))
+            i, j = np.nonzero((sim >= similar) & (k1[:, None] != k2[None, :]))
+            _, one = np.unique(np.stack([i, k2[j]]), axis=1, return_index=True)
+            out = list(zip(i1[i[one]].tolist(), i2[j[one]].tolist(), strict=True))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return left.groupBy("c1", "o1", "b1").cogroup(right.groupBy("c2", "o2", "b2")).applyInPandas(compare, "a bigint, b bigint")
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id): every document in a class with others, class_id being the smallest id in it.
 
     Classes are the connected components of the pairs with a weighted Jaccard similarity of
     TF-IDF shingles of `similar` or more that share a band. In each band's bucket all are
-    compared with the one of the smallest id. Documents of a bucket that this leaves in
-    different components are compared with each other as far as the triangle inequality of
-    the Jaccard distance allows a link, in rounds of at most ROUND pairs for each document.
+    compared with the one of the smallest id. What this leaves in different classes is
+    compared with each other: in buckets of up to CROWD documents in pairs, as far as the
+    triangle inequality of the Jaccard distance allows a link; in larger ones, which often
+    hold the same documents, once for all of them, in blocks.
     """
-    spark = docs.sparkSession
     total_docs = docs.count()
     sets = written(weighted_sets(docs, doc_id, text, similar), "near-sets")
     banded = sets.select("doc_id", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = written(banded.join(heads, "band"), "near-buckets")
-    first = written(similarities(buckets.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), sets, total_docs), "near-first")
-    links = first.where(F.col("similarity") >= similar).select("a", "b")
-    classes = written(components(links), "near-classes")
-    placed = buckets.join(classes, buckets.doc_id == classes.node, "left").select("band", "a", "n", "doc_id", F.coalesce("component", "doc_id").alias("class"))
-    mixed = placed.groupBy("band").agg(F.countDistinct("class").alias("classes")).where("classes > 1").select("band")
-    rest = placed.join(mixed, "band").join(first.select("a", F.col("b").alias("doc_id"), "similarity"), ["a", "doc_id"])
-    rest = written(rest.select("band", "n", "doc_id", "class", "similarity"), "near-rest")  # without the compared heads
-    size = rest.agg(F.max(F.col("n").cast("double")), F.sum(F.col("n").cast("double"))).first()
-    if size[0] is None:
-        return classes.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
-    rounds = max(1, math.ceil(size[1] / 2 / (ROUND * max(1, total_docs))))
-    tested = None
-    for k in range(rounds):
-        now = rest.drop("class").join(classes, rest.doc_id == classes.node, "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("class"), "similarity") if k else rest
-        x = now.where(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(rounds)) == k).select("band", F.col("doc_id").alias("a"), F.col("class").alias("ca"), F.col("similarity").alias("sa"))
-        y = now.select("band", F.col("doc_id").alias("b"), F.col("class").alias("cb"), F.col("similarity").alias("sb"))
-        near = F.abs(F.col("sa") - F.col("sb")) <= 1 - similar + 1e-9
-        pairs = written(x.join(y, "band").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near).select("a", "b").distinct(), "near-pairs")
-        if pairs.isEmpty():
-            continue
-        tested = written(similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b"), "near-more")
-        if not tested.isEmpty():
-            links = links.unionByName(tested)
-            classes = written(components(links), "near-classes")
+    heads = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    buckets = written(banded.join(heads, "band").where("doc_id <> a"), "near-buckets")
+    first = written(similarities(buckets.select("a", F.col("doc_id").alias("b")).distinct(), sets, total_docs), "near-first")
+    classes = written(components(first.where(F.col("similarity") >= similar).select("a", "b")), "near-classes")
+    own = lambda frame, key, name: frame.join(classes.select(F.col("node").alias("_n"), F.col("component").alias(name)), F.col(key) == F.col("_n"), "left").withColumn(name, F.coalesce(name, key)).drop("_n")
+    placed = own(own(buckets, "doc_id", "class"), "a", "head").withColumn("inside", F.col("class") == F.col("head"))
+    mixed = placed.groupBy("band").agg(F.count_if(~F.col("inside")).alias("outside")).where("outside > 0").select("band")
+    rest = written(placed.join(mixed, "band"), "near-rest")
+
+    few = rest.where((F.col("members") <= CROWD) & (F.col("members") > 2)).join(first.select("a", F.col("b").alias("doc_id"), "similarity"), ["a", "doc_id"])
+    x = few.where(~F.col("inside")).select("band", F.col("doc_id").alias("x"), F.col("class").alias("cx"), F.col("similarity").alias("sx"))
+    y = few.select("band", F.col("doc_id").alias("y"), F.col("class").alias("cy"), F.col("similarity").alias("sy"), F.col("inside").alias("iy"))
+    near = F.abs(F.col("sx") - F.col("sy")) <= 1 - similar + 1e-9
+    met = x.join(y, "band").where((F.col("cx") != F.col("cy")) & (F.col("iy") | (F.col("x") < F.col("y"))) & near)
+    pairs = written(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-pairs")
+    more = similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b")
+
+    many = rest.where(F.col("members") > CROWD)
+    crowds = components(many.select(F.col("a"), F.col("doc_id").alias("b")).distinct())
+    ends = own(crowds.select(F.col("node").alias("doc_id"), F.col("component").alias("crowd")), "doc_id", "class")
+    more = written(more.unionByName(block_links(written(ends, "near-crowds"), sets, total_docs, similar)), "near-more")
+    if not more.isEmpty():
+        # Only the classes that the new links join are contracted.
+        up = written(components(own(own(more, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "near-up")
+        moved = classes.join(up.select(F.col("node").alias("_c"), F.col("component").alias("_to")), F.col("component") == F.col("_c"), "left")
+        classes = moved.select("node", F.coalesce("_to", "component").alias("component")).unionByName(up).distinct()
     return classes.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
 
 

@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axisforge.llm.blobs import groups, in_chunks, mix, pack, part_keys, part_of, powers, spread, starts, steps, unpack
+from axisforge.llm.blobs import groups, in_chunks, lean_memory, mix, pack, part_keys, part_of, powers, repeated, runs, spread, starts, steps, unpack
 from axisforge.llm.common import partitions, table, written
 
 #: Bytes of a match, of an anchor, and the reach of windows before and after an anchor's start.
 MATCH, K = 50, 24
 BACK, AHEAD = MATCH - K, MATCH
+#: Suffixes that are sorted at once (more if they are all equal at the start).
+SORTED = 50_000
 #: Bits of the hashes of anchors and, within an anchor's bucket, of contexts.
 ANCHOR_BITS, CONTEXT_BITS = 56, 40
 
@@ -109,6 +111,20 @@ def longest_previous_factors(rows: np.ndarray, owners: np.ndarray) -> np.ndarray
     return out
 
 
+def window_hashes(raw: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, offset) of all windows within the first `size` bytes of rows."""
+    up, down = powers(raw.shape[1] + 1)
+    out = []
+    for lo in range(0, len(raw), 4096):
+        part = raw[lo : lo + 4096]
+        sums = np.zeros((len(part), raw.shape[1] + 1), dtype=np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: raw.shape[1]], axis=1, out=sums[:, 1:])
+        h = mix((sums[:, MATCH:] - sums[:, :-MATCH]) * down[: raw.shape[1] - MATCH + 1])
+        row, offset = np.nonzero(np.arange(h.shape[1])[None, :] + MATCH <= size[lo : lo + 4096, None])
+        out.append((h[row, offset], (row + lo).astype(np.int32), offset.astype(np.uint8)))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
 #: Kinds of packed rows: anchors; repeated contexts (key, position); contexts wanted (key, position, anchor); repeated windows (key, position).
 ANCHORS, SETTLED, WANTED, WINDOWS = range(4)
 _ROWS = "part int, kind int, blob binary"
@@ -124,10 +140,11 @@ def _columns(blobs) -> list[np.ndarray]:
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str, parts: int) -> DataFrame:
-    """(part, id, key, text): key tells rows apart that share an id but not the text; part is a hash of it."""
+    """(part, id, key, text): key is the id, or a hash of id and text where rows share an id; part is a hash of the key."""
     of = F.element_at(F.array(*map(F.lit, part_keys(parts))), F.pmod(F.hash("key"), F.lit(parts)) + 1)
     rows = docs.where(F.col(f"`{doc_id}`").isNotNull()).select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    return rows.withColumn("key", F.xxhash64("id", "text")).select(of.alias("part"), "id", "key", "text")
+    unique = rows.groupBy("id").count().where("count > 1").isEmpty()
+    return rows.withColumn("key", F.col("id") if unique else F.xxhash64("id", "text")).select(of.alias("part"), "id", "key", "text")
 
 
 def repeated_bytes(rows: DataFrame, parts: int) -> DataFrame:
@@ -139,39 +156,52 @@ def repeated_bytes(rows: DataFrame, parts: int) -> DataFrame:
         return [(int(to[part]), kind, pack(keys[r], *(c[r] for c in columns))) for part, r in groups(part_of(keys, parts))]
 
     def scan(batches):
-        for batch in batches:
-            ids, keys = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            found = list(anchors([t.encode() for t in batch.column(2).to_pylist()]))
-            if not found:
-                continue
-            doc, at, h, context = map(np.concatenate, zip(*found, strict=True))
-            own = ids[doc]
-            order = np.lexsort((own, context, h))
-            doc, at, h, context, own = doc[order], at[order].astype(np.uint32), h[order], context[order], own[order]
-            # What an earlier document of this batch has in whole is settled here, so that any number of copies leaves one of them.
-            first = np.flatnonzero(starts(h, context))
-            settled = own != spread(own[first], first, len(own))
-            out = by_key(SETTLED, keys[doc[settled]], at[settled])
-            doc, at, h, context = (x[~settled] for x in (doc.astype(np.uint32 if len(ids) > 65535 else np.uint16), at, h, context))
-            cuts = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
-            for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                if b > a:
-                    out.append((int(to[part]), ANCHORS, pack(ids, keys, steps(h[a:b]), context[a:b], doc[a:b], at[a:b])))
-            for lo in range(0, len(out), 64):
-                c = zip(*out[lo : lo + 64], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(c, _SCHEMA, strict=True)], schema=_SCHEMA)
+        lean_memory()
+        for (ids, keys), texts in runs(batches):
+            out = scan_run(ids, keys, texts)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+
+    def scan_run(ids: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> list[tuple]:
+        found = list(anchors(texts))
+        if not found:
+            return []
+        same = bool((ids == keys).all())
+        doc, at, h, context = map(np.concatenate, zip(*found, strict=True))
+        del found
+        order = np.lexsort((ids[doc], context, h))
+        doc, at, h, context = doc[order].astype(np.uint32 if len(ids) > 65535 else np.uint16), at[order].astype(np.uint32), h[order], context[order]
+        # What an earlier document of this run has in whole is settled here, so that any number of copies leaves one of them.
+        own, first = ids[doc], np.flatnonzero(starts(h, context))
+        settled = own != spread(own[first], first, len(own))
+        out = by_key(SETTLED, keys[doc[settled]], at[settled])
+        doc, at, h, context = (x[~settled] for x in (doc, at, h, context))
+        cuts = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
+        for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a:
+                docs_, local = np.unique(doc[a:b], return_inverse=True)
+                out.append((int(to[part]), ANCHORS, pack(ids[docs_], keys[docs_[:0] if same else docs_], steps(h[a:b]), context[a:b], local.astype(doc.dtype), at[a:b])))
+        return out
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        lean_memory()
         kinds = pdf["kind"].to_numpy()
         out = [(int(pdf["part"].iloc[0]), SETTLED, b) for b in pdf["blob"][kinds == SETTLED]]
-        cols = []
-        for blob in pdf["blob"][kinds == ANCHORS]:
-            ids, keys, gaps, context, doc, at = unpack(blob)
-            cols.append((np.cumsum(gaps), context, ids[doc], keys[doc], at))
-        if not cols:
+        blobs = list(pdf["blob"][kinds == ANCHORS])
+        if not blobs:
             return _frame(out)
+        # Most anchors occur once: the other columns are unpacked for the rest.
+        hs = [np.cumsum(unpack(b, (2,))[0]) for b in blobs]
+        cols = []
+        for i, keep in enumerate(repeated(hs)):
+            ids, keys, context, doc, at = unpack(blobs[i], (0, 1, 3, 4, 5))
+            doc = doc[keep]
+            cols.append((hs[i][keep], context[keep], ids[doc], (keys if len(keys) else ids)[doc], at[keep]))
+            hs[i] = None
         h, context, own, key, at = map(np.concatenate, zip(*cols, strict=True))
         del cols
+        if not len(h):
+            return _frame(out)
         # Only buckets of several documents.
         order = np.argsort(h, kind="stable")
         first = np.flatnonzero(starts(h[order]))
@@ -190,6 +220,7 @@ def repeated_bytes(rows: DataFrame, parts: int) -> DataFrame:
         return _frame(out + by_key(WANTED, key[wanted], at[wanted], h[wanted]))
 
     def contexts(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        lean_memory()
         if not len(texts) or not len(marks):
             return _frame([])
         key, at, h = _columns(marks["blob"])
@@ -205,25 +236,30 @@ def repeated_bytes(rows: DataFrame, parts: int) -> DataFrame:
         return _frame(out)
 
     def factors(pdf: pd.DataFrame) -> pd.DataFrame:
+        lean_memory()
         own, key, begin, size, raw = _columns(pdf["blob"])
         raw = raw.reshape(len(own), BACK + AHEAD)
         windows = np.lib.stride_tricks.sliding_window_view(raw, MATCH, axis=1)
-        row, offset = np.nonzero(np.arange(BACK + AHEAD - MATCH + 1)[None, :] + MATCH <= size[:, None])
-        hit = longest_previous_factors(windows[row, offset], own[row]) >= MATCH
+        hash_, row, offset = window_hashes(raw, size)
+        # A suffix whose first MATCH bytes have a hash of their own has no match; the others are sorted in runs.
+        order = np.argsort(hash_, kind="stable")
+        first = np.flatnonzero(starts(hash_[order]))
+        n = np.diff(np.append(first, len(order)))
+        order = order[spread(n > 1, first, len(order))]
+        row, offset, ends = row[order], offset[order], np.cumsum(n[n > 1])
+        hit = np.zeros(len(row), dtype=bool)
+        lo = 0
+        while lo < len(row):
+            hi = int(ends[min(np.searchsorted(ends, lo + SORTED), len(ends) - 1)])
+            hit[lo:hi] = longest_previous_factors(windows[row[lo:hi], offset[lo:hi]], own[row[lo:hi]]) >= MATCH
+            lo = hi
         return _frame(by_key(WINDOWS, key[row[hit]], (begin[row[hit]] + offset[hit]).astype(np.uint32)))
 
-    spark = rows.sparkSession
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     marks = rows.select("id", "key", "text").mapInArrow(scan, _ROWS).repartition(parts, "part").groupBy("part").applyInPandas(meet, _ROWS)
-    before = spark.conf.get(cleanup, "false")
-    spark.conf.set(cleanup, "true")  # the anchors' shuffle is the largest; its files go once the marks are written
-    try:
-        marks = written(marks, "suffix-marks")
-        wanted = marks.where(F.col("kind") == WANTED).withColumnRenamed("part", "to")
-        near = rows.groupBy("part").cogroup(wanted.groupBy("to")).applyInPandas(contexts, _ROWS)
-        found = written(near.repartition(parts, "part").groupBy("part").applyInPandas(factors, _ROWS), "suffix-windows")
-    finally:
-        spark.conf.set(cleanup, before)
+    marks = written(marks, "suffix-marks")
+    wanted = marks.where(F.col("kind") == WANTED).withColumnRenamed("part", "to")
+    near = rows.groupBy("part").cogroup(wanted.groupBy("to")).applyInPandas(contexts, _ROWS)
+    found = written(near.repartition(parts, "part").groupBy("part").applyInPandas(factors, _ROWS), "suffix-windows")
     return marks.where(F.col("kind") == SETTLED).unionByName(found)
 
 
@@ -248,7 +284,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     length of a text. Empty tables give empty results; further columns are ignored.
     """
     spark = docs.sparkSession
-    parts = max(1, partitions(spark))
+    parts = 2 * max(1, partitions(spark))
     rows = keyed(docs, doc_id, text, parts)
     marks = repeated_bytes(rows, parts).withColumnRenamed("part", "to")
     types = {"kept": "binary", "spans": "array<struct<begin:bigint,end:bigint>>"}
@@ -256,6 +292,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + "".join(f", {r} {types[r]}" for r in results)
 
     def cut(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        lean_memory()
         found: dict[int, list[np.ndarray]] = {}
         for kind, side in ((SETTLED, 0), (WINDOWS, 1)):
             blobs = marks["blob"][marks["kind"] == kind]
