@@ -13,12 +13,17 @@ import base64
 import hashlib
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 #: Encodings of pieces that a worker keeps, in two generations of this size.
-MEMO = 150_000
+MEMO = 300_000
+#: Junctions of two tokens of which a worker keeps whether they are valid.
+JUNCTIONS = 1_000_000
+#: Rows that are encoded and handed on at once.
+ROWS = 500
 _SHIFT = 24
 
 
@@ -42,12 +47,13 @@ class Vocabulary:
                     self.left[i], self.right[i] = a, b
                     self.merged[a << _SHIFT | b] = i
                     break
-        self.valid: dict[int, bool] = {}
+        self.known = 0
         self.automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
             # A longer token that no merge makes can only be a whole piece.
             if len(token) == 1 or self.left[i] != i:
-                self.automaton.add_word(token.decode("latin-1"), (i, len(token)))
+                # The token, its length, and the tokens before it by whether their junction with it is valid, as far as known.
+                self.automaton.add_word(token.decode("latin-1"), (i, len(token), {}))
         self.automaton.make_automaton()
 
     @classmethod
@@ -81,26 +87,31 @@ class Vocabulary:
             else:
                 return True
 
+    def after(self, before: int, token: int, valid: dict[int, bool]) -> bool:
+        """Whether token may follow before; remembered in `valid`, of which JUNCTIONS are kept in all."""
+        if self.known >= JUNCTIONS:
+            for _, _, v in self.automaton.values():
+                v.clear()
+            self.known = 0
+        self.known += 1
+        ok = valid[before] = self.stays(before, token)
+        return ok
+
     def extend(self, data: bytes, last: list[int], start: int, stop_at=None) -> int:
         """Fills last[i] for the prefixes of data from length start + 1 on; returns where it ended.
 
         last[0] is -1, and last[:start + 1] is filled. stop_at(i), if given, ends the work early.
         """
         begin = max(0, start - self.longest)
-        valid, stays, done = self.valid, self.stays, start
-        for end, (token, size) in self.automaton.iter(data[begin:].decode("latin-1")):
+        done = start
+        for end, (token, size, valid) in self.automaton.iter(data[begin:].decode("latin-1")):
             i = begin + end + 1
             if i <= done:
                 continue
             before = last[i - size]
             if before >= 0:
-                key = before << _SHIFT | token
-                ok = valid.get(key)
-                if ok is None:
-                    if len(valid) > 1_000_000:
-                        valid.clear()
-                    ok = valid[key] = stays(before, token)
-                if not ok:
+                ok = valid.get(before)
+                if not (self.after(before, token, valid) if ok is None else ok):
                     continue
             last[i] = token
             done = i
@@ -118,8 +129,16 @@ class Vocabulary:
     def encode(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        last = [-1] * (len(piece) + 1)
-        self.extend(piece, last, 0)
+        last, done, after = [-1] * (len(piece) + 1), 0, self.after
+        for end, (token, size, valid) in self.automaton.iter(piece.decode("latin-1")):
+            if end >= done:  # else the prefix has its last token
+                before = last[end + 1 - size]
+                if before >= 0:
+                    ok = valid.get(before)
+                    if not (after(before, token, valid) if ok is None else ok):
+                        continue
+                done = end + 1
+                last[done] = token
         return self.walk(last, len(piece))
 
     def decode(self, ids) -> bytes:
@@ -211,23 +230,25 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, results: tuple[str, ...
     def encode(batches):
         memo, split, by_id = encoder(path, pattern)
         piece_ids, token = memo.__getitem__, by_id.__getitem__
-        for batch in batches:
-            out = {r: [] for r in results}
-            for text in batch.column(batch.num_columns - 1):
-                ids = " ".join(map(piece_ids, split(text.as_py() or "")))
-                if "ids" in out:
-                    out["ids"].append(list(map(int, ids.split())))
-                if "n_tokens" in out:
-                    out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
-                if "ids_sha256" in out:
-                    out["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
-                if decode:
-                    data = b"".join(map(token, ids.split()))
-                    if "decoded" in out:
-                        out["decoded"].append(data)
-                    if "decoded_sha256" in out:
-                        out["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(out[r], RESULTS[r]) for r in results)], names=[*names, *results])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(lo, ROWS)
+                out = {r: [] for r in results}
+                for text in batch.column(batch.num_columns - 1):
+                    ids = " ".join(map(piece_ids, split(text.as_py() or "")))
+                    if "ids" in out:
+                        out["ids"].append(np.fromstring(ids, dtype=np.int32, sep=" "))
+                    if "n_tokens" in out:
+                        out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
+                    if "ids_sha256" in out:
+                        out["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
+                    if decode:
+                        data = b"".join(map(token, ids.split()))
+                        if "decoded" in out:
+                            out["decoded"].append(data)
+                        if "decoded_sha256" in out:
+                            out["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(out[r], RESULTS[r]) for r in results)], names=[*names, *results])
 
     from pyspark.sql import functions as F
 
