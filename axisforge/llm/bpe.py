@@ -18,10 +18,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from axisforge.llm.blobs import lean_memory
+
 #: Encodings of pieces that a worker keeps, in two generations of this size.
-MEMO = 300_000
+MEMO = 200_000
 #: Junctions of two tokens of which a worker keeps whether they are valid.
-JUNCTIONS = 1_000_000
+JUNCTIONS = 300_000
 #: Rows that are encoded and handed on at once.
 ROWS = 500
 _SHIFT = 24
@@ -228,6 +230,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, results: tuple[str, ...
     decode = bool({"decoded", "decoded_sha256"} & set(results))
 
     def encode(batches):
+        lean_memory()
         memo, split, by_id = encoder(path, pattern)
         piece_ids, token = memo.__getitem__, by_id.__getitem__
         for whole in batches:
