@@ -57,7 +57,10 @@ def content_sort(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
     search = lambda lo, step: F.when((lo + step <= n) & (F.get(at, lo + step - 1) <= F.col("_af_at")), lo + step).otherwise(lo)
     rows = rows.withColumn("_af_range", F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), search) if n else F.lit(0))
 
-    placed = rows.drop("_af_at").repartition("_af_range")
+    # The normalised text isn't moved beside the text itself.
+    placed = rows.drop("_af_at", *(["_af_text"] if text in names else [])).repartition("_af_range")
+    if text in names:
+        placed = placed.withColumn("_af_text", normalised(F.col(f"`{text}`")))
     group = Window.partitionBy("_af_range", "_af_text").orderBy(F.col("_af_id").asc_nulls_last())
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sorted_ = placed.select(
