@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from axisforge.llm.blobs import lean_memory
 from axisforge.llm.common import table, without, written
 
 #: The text model is fitted on this many documents at most, with their declared languages.
@@ -81,6 +82,7 @@ def text_likelihoods(docs: DataFrame, text: str, langs: list[str], model: np.nda
     schema = docs.select("*", F.lit(None).cast("array<float>").alias("_af_ll"), F.lit(False).alias("_af_letters")).schema
 
     def score(batches):
+        lean_memory()
         table_ = shared.value
         for batch in batches:
             ll, letters = [], []
@@ -99,6 +101,63 @@ def text_likelihoods(docs: DataFrame, text: str, langs: list[str], model: np.nda
     return docs.mapInArrow(score, schema)
 
 
+class Evidence:
+    """What the rows of a table say about languages: the text model, and counts of declarations, suffixes, hosts and domains."""
+
+    def __init__(self, docs: DataFrame, text: str = "text", declared: str | None = None, host: str | None = None, domain: str | None = None, suffix: str | None = None):
+        self.text, self.columns = text, {"_af_declared": declared, "_af_host": host, "_af_domain": domain, "_af_suffix": suffix}
+        labelled = self.evidence(docs if declared else docs.limit(0), [])
+        self.langs, self.model = fit_text_model(labelled.select("_af_declared", "_af_text"), "_af_declared", "_af_text")
+        used = [k for k, c in self.columns.items() if c]
+        # A row for each document, without its text.
+        seen = written(self.scored(docs, []).select(*used, "_af_best"), "language-seen")
+        self.total = {r[0]: float(r[1]) for r in seen.groupBy("_af_best").count().collect()}  # a row for each language
+        self.sides = {}
+        for key in used:
+            per = seen.groupBy(key, "_af_best").agg(F.count(F.lit(1)).cast("double").alias("n"))
+            counts = per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_af_best", "n"))).alias("m"))  # langs entries at most
+            self.sides[key] = written(counts.select(key, F.array(*[F.coalesce(F.col("m")[lang], F.lit(0.0)) for lang in self.langs]).alias("_af_n")), "language-counts")
+
+    def evidence(self, docs: DataFrame, names: list[str]) -> DataFrame:
+        return docs.select(*[F.col(f"`{c}`") for c in names], *[(F.col(f"`{c}`").cast("string") if c else F.lit(None).cast("string")).alias(a) for a, c in self.columns.items()], F.col(f"`{self.text}`").alias("_af_text"))
+
+    def named(self, at: Column) -> Column:
+        return F.element_at(F.array(*map(F.lit, self.langs)), at.cast("int"))
+
+    def scored(self, docs: DataFrame, names: list[str]) -> DataFrame:
+        """names and evidence with the texts' likelihoods and their best language; the text itself only if it is one of names."""
+        out = text_likelihoods(self.evidence(docs, names), "_af_text", self.langs, self.model).drop("_af_text")
+        return out.withColumn("_af_best", F.when(F.col("_af_letters"), self.named(F.array_position("_af_ll", F.array_max("_af_ll")))).otherwise(UNKNOWN))
+
+    def joined(self, frame: DataFrame, key: str) -> DataFrame:
+        side = self.sides[key].withColumnRenamed(key, "_af_key")
+        return frame.join(side, F.col(key).eqNullSafe(F.col("_af_key")), "left").drop("_af_key")
+
+    def fused(self, scored: DataFrame) -> DataFrame:
+        """scored with language and posterior."""
+        langs = self.langs
+        everywhere = sum(self.total.values()) or 1.0
+        prior: Column = F.array(*[F.lit(UNKNOWN_PRIOR if lang == UNKNOWN else max(self.total.get(lang, 0.0), 1.0) / everywhere) for lang in langs])
+        out = scored.withColumn("_af_log", F.col("_af_ll").cast("array<double>"))
+        plus = lambda other: F.zip_with("_af_log", other, lambda a, b: a + b)
+        none = F.array(*[F.lit(0.0)] * len(langs))
+        for key in ("_af_declared", "_af_suffix"):
+            if self.columns[key]:
+                values = self.sides[key].count() + 1
+                totals = F.array(*[F.lit(self.total.get(lang, 0.0) + 0.5 * values) for lang in langs])
+                out = self.joined(out, key)
+                out = out.withColumn("_af_log", plus(F.zip_with(F.coalesce("_af_n", none), totals, lambda n, t: F.log((n + 0.5) / t)))).drop("_af_n")
+        for key, m in (("_af_domain", "_af_dm"), ("_af_host", "_af_hm")):
+            if self.columns[key]:
+                out = self.joined(out, key)
+                out = out.withColumn(m, F.zip_with(F.coalesce("_af_n", none), prior, lambda c, p: c + p * STRENGTH)).drop("_af_n")
+                out = out.withColumn("_af_mass", F.aggregate(F.col(m), F.lit(0.0), lambda a, b: a + b)).withColumn(m, F.transform(F.col(m), lambda c: c / F.col("_af_mass"))).drop("_af_mass")
+                prior = F.col(m)
+        out = out.withColumn("_af_log", plus(F.transform(prior, lambda p: F.log(p)))).withColumn("_af_top", F.array_max("_af_log"))
+        out = out.withColumn("posterior", 1.0 / F.aggregate("_af_log", F.lit(0.0), lambda a, b: a + F.exp(b - F.col("_af_top"))))
+        return out.withColumn("language", F.when(F.col("_af_letters"), self.named(F.array_position("_af_log", F.col("_af_top")))).otherwise(UNKNOWN))
+
+
 def identify(docs: DataFrame, text: str = "text", declared: str | None = None, host: str | None = None, domain: str | None = None, suffix: str | None = None, accepted: set[str] | None = None, carry: list[str] | None = None) -> DataFrame:
     """The columns `carry` (by default all) with language, posterior, text_language and kept.
 
@@ -112,57 +171,19 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = None, h
     kept: the best language is not UNKNOWN, has a posterior of LEAST or more and is one of
     `accepted` (None: any), and the text holds a letter.
 
-    The counts are grouped aggregates of a compact table, a row for each document; hosts may
-    be any number. Null or empty texts, and those without letters, are UNKNOWN and not kept;
-    a null declaration, suffix or host is a value of its own. Repeated rows stay. Columns
-    with the names of the results are replaced.
+    Texts are scored twice, first for the counts, grouped aggregates of a compact table, then
+    with them, so that no text is written or moved; hosts may be any number. Null or empty
+    texts, and those without letters, are UNKNOWN and not kept; a null declaration, suffix or
+    host is a value of its own. Repeated rows stay. Columns with the names of the results are
+    replaced.
     """
-    added = ["language", "posterior", "text_language", "kept"]
-    names = without(docs, *added).columns if carry is None else carry
-    evidence = {"_af_declared": declared, "_af_host": host, "_af_domain": domain, "_af_suffix": suffix}
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], *[(F.col(f"`{c}`").cast("string") if c else F.lit(None).cast("string")).alias(a) for a, c in evidence.items()], F.col(f"`{text}`").alias("_af_text"))
-    labelled = rows if declared else rows.limit(0)
-    langs, model = fit_text_model(labelled.select("_af_declared", "_af_text"), "_af_declared", "_af_text")
-    scored = written(text_likelihoods(rows, "_af_text", langs, model).drop("_af_text").withColumn("_af_best", F.when(F.col("_af_letters"), F.element_at(F.array(*map(F.lit, langs)), F.array_position("_af_ll", F.array_max("_af_ll")).cast("int"))).otherwise(UNKNOWN)), "language-text")
-
-    def shares(by: str) -> DataFrame:
-        """For each value of `by`, a map from languages to numbers of documents."""
-        per = scored.groupBy(by, "_af_best").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        return per.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_af_best", "n"))).alias("m"))  # langs entries at most
-
-    total = {r[0]: float(r[1]) for r in scored.groupBy("_af_best").count().collect()}  # a row for each language
-    everywhere = sum(total.values()) or 1.0
-    base = [max(total.get(lang, 0.0), 1.0) / everywhere if lang != UNKNOWN else UNKNOWN_PRIOR for lang in langs]
-    out = scored.withColumn("_af_log", F.col("_af_ll").cast("array<double>"))
-    plus = lambda other: F.zip_with("_af_log", other, lambda a, b: a + b)
-
-    def joined(frame: DataFrame, key: str, side: DataFrame) -> DataFrame:
-        side = side.withColumnRenamed(key, "_af_key")
-        return frame.join(side, F.col(key).eqNullSafe(F.col("_af_key")), "left").drop("_af_key")
-
-    for key in ("_af_declared", "_af_suffix"):
-        if evidence[key]:
-            side = shares(key)
-            values = side.count() + 1
-            logs = F.array(*[F.log((F.coalesce(F.col("m")[lang], F.lit(0.0)) + 0.5) / (total.get(lang, 0.0) + 0.5 * values)) for lang in langs])
-            out = joined(out, key, written(side.select(key, logs.alias("_af_side")), "language-side"))
-            out = out.withColumn("_af_log", plus(F.col("_af_side"))).drop("_af_side")
-    prior: Column = F.array(*map(F.lit, base))
-    used = [(k, m) for k, m in (("_af_domain", "_af_dm"), ("_af_host", "_af_hm")) if evidence[k]]
-    for key, m in used:
-        out = joined(out, key, written(shares(key).select(key, F.array(*[F.coalesce(F.col("m")[lang], F.lit(0.0)) for lang in langs]).alias(m)), "language-host"))
-        out = out.withColumn(m, F.zip_with(F.col(m), prior, lambda c, p: c + p * STRENGTH))
-        out = out.withColumn("_af_mass", F.aggregate(F.col(m), F.lit(0.0), lambda a, b: a + b)).withColumn(m, F.transform(F.col(m), lambda c: c / F.col("_af_mass"))).drop("_af_mass")
-        prior = F.col(m)
-    out = out.withColumn("_af_log", plus(F.transform(prior, lambda p: F.log(p))))
-    top = F.array_max("_af_log")
-    out = out.withColumn("_af_top", top).withColumn("posterior", 1.0 / F.aggregate("_af_log", F.lit(0.0), lambda a, b: a + F.exp(b - F.col("_af_top"))))
-    language = F.when(F.col("_af_letters"), F.element_at(F.array(*map(F.lit, langs)), F.array_position("_af_log", F.col("_af_top")).cast("int"))).otherwise(UNKNOWN)
-    out = out.withColumn("language", language)
+    names = without(docs, "language", "posterior", "text_language", "kept").columns if carry is None else carry
+    known = Evidence(docs, text, declared, host, domain, suffix)
+    out = known.fused(known.scored(docs, names))
     kept = (F.col("language") != UNKNOWN) & (F.col("posterior") >= LEAST)
     if accepted is not None:
         kept = kept & F.col("language").isin(*sorted(accepted))
-    return out.select(*[F.col(f"`{c}`") for c in names], "language", F.col("posterior"), F.col("_af_best").alias("text_language"), kept.alias("kept"))
+    return out.select(*[F.col(f"`{c}`") for c in names], "language", "posterior", F.col("_af_best").alias("text_language"), kept.alias("kept"))
 
 
 def identify_pages(pages: DataFrame) -> DataFrame:
