@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -35,7 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not place:
         app = spark.sparkContext.applicationId
         if app not in _OWN:
-            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="axisforge-")
+            own = tempfile.mkdtemp(prefix="axisforge-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            _OWN[app] = f"file://{own}"
         place = _OWN[app]
     return place.rstrip("/")
 
