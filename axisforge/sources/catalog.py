@@ -69,7 +69,11 @@ def write_fileset(files: DataFrame, path: str, group: str = "dataset") -> None:
         f.write("}" if last is None else "}}}")
 
 
-def locate_cross_sections(explicit: str | None = None, variable: str = "AXISFORGE_XS_JSON", name: str = "mj_samples_xs.json", sibling: str | None = None) -> str | None:
+#: Fixed value: the usual name of the table of cross sections.
+CROSS_SECTIONS = "mj_samples_xs.json"
+
+
+def locate_cross_sections(explicit: str | None = None, variable: str = "AXISFORGE_XS_JSON", name: str = CROSS_SECTIONS, sibling: str | None = None) -> str | None:
     """The first that exists of: the given path, that of the environment variable, the file here, and one in a sibling folder of any folder above."""
     here = Path.cwd()
     options = [explicit, os.environ.get(variable), here / name, *((p / sibling / name) for p in here.parents if sibling)]
