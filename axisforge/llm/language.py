@@ -198,5 +198,7 @@ def identify_pages(pages: DataFrame) -> DataFrame:
 
 
 def op7_fused_language_id(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return identify(docs, declared="lang", host="source", carry=["doc_id"])
+    """The rows of documents (doc_id) and of pages (page_id), each table by its own evidence; the other id is null."""
+    docs = identify(table(spark, sf_dir, "documents"), declared="lang", host="source", carry=["doc_id"])
+    pages = identify_pages(table(spark, sf_dir, "pages"))
+    return docs.unionByName(pages, allowMissingColumns=True)

@@ -398,6 +398,14 @@ def test_pages(spark):
     assert len(out) == pages.count() and np.mean([out[i].language == m[1] for i, m in lang.items() if m]) > 0.9 and not out[-1].kept
 
 
+def test_the_language_query_covers_documents_and_pages(spark):
+    out = QUERIES["op7_fused_language_id"](spark, SF)
+    docs, pages = common.table(spark, SF, "documents"), common.table(spark, SF, "pages")
+    assert sorted(r.doc_id for r in out.where("page_id is null").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    got = sorted((r.page_id, r.language, r.kept) for r in out.where("doc_id is null").collect())
+    assert got == sorted((r.page_id, r.language, r.kept) for r in language.identify_pages(pages).collect()) and len(got) == pages.count()
+
+
 # 8: exact dedup
 
 
