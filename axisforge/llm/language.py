@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from axisforge.llm.blobs import lean_memory
 from axisforge.llm.common import table, without, written
 
-#: The text model is fitted on this many documents at most, with their declared languages.
+#: The text model is fitted on this many documents of each declared language at most.
 FIT = 20_000
 #: Byte trigrams are counted in this many cells (a power of 2).
 CELLS = 1 << 16
@@ -37,37 +37,41 @@ def trigram_cells(data: np.ndarray) -> np.ndarray:
     return (packed * np.uint32(0x9E3779B1)) >> np.uint32(32 - (CELLS.bit_length() - 1))
 
 
+def fit_sample(docs: DataFrame, declared: str, text: str) -> tuple[DataFrame, list[str]]:
+    """The documents (l, t) that the text model is fitted on, and all declared languages."""
+    known = docs.where(F.col(declared).isNotNull() & (F.octet_length(text) > 2)).select(F.col(declared).alias("l"), F.col(text).alias("t"))
+    per = {r[0]: r[1] for r in known.groupBy("l").count().collect()}  # a row for each language
+    share = docs.sparkSession.createDataFrame([(lang, -(-n // FIT)) for lang, n in per.items()], "l string, one_in long")
+    return known.join(F.broadcast(share), "l").where(F.pmod(F.xxhash64("t"), "one_in") == 0).select("l", "t"), sorted(per)
+
+
 def fit_text_model(docs: DataFrame, declared: str, text: str) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities [cells, languages]) of byte trigrams, UNKNOWN last and uniform.
 
-    Fitted on FIT documents at most that declare a language, chosen by a hash of their text.
-    Languages with under 1 in 1000 of these documents are left out.
+    Every language that a text of 3 bytes or more declares is one of them, however rare; a
+    language takes 256 KB. Each is fitted on about FIT of its documents at most, chosen by a
+    hash of their text.
     """
-    known = docs.where(F.col(declared).isNotNull() & (F.length(text) > 0)).select(F.col(declared).alias("l"), F.col(text).alias("t"))
-    one_in = max(1, -(-known.count() // (FIT // 2)))
-    sample = known.where(F.pmod(F.xxhash64("t"), F.lit(one_in)) == 0)
+    sample, langs = fit_sample(docs, declared, text)
+    at_lang = {lang: i for i, lang in enumerate(langs)}
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        n: dict[str, int] = {}
         for batch in batches:
             for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = np.frombuffer(t.encode(), dtype=np.uint8)
                 if len(data) > 2:
                     sums.setdefault(lang, np.zeros(CELLS))
                     sums[lang] += np.bincount(trigram_cells(data), minlength=CELLS)
-                    n[lang] = n.get(lang, 0) + 1
         for lang, s in sums.items():
             at = np.flatnonzero(s)
-            yield pa.RecordBatch.from_pydict({"l": [lang] * len(at), "cell": at.astype(np.int32), "n": s[at], "docs": [n[lang]] + [0] * (len(at) - 1)}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"l": np.full(len(at), at_lang[lang], dtype=np.int32), "cell": at.astype(np.int32), "n": s[at]}, schema=schema)
 
-    schema = pa.schema([("l", pa.string()), ("cell", pa.int32()), ("n", pa.float64()), ("docs", pa.int64())])
-    counts = sample.mapInArrow(count, "l string, cell int, n double, docs bigint").groupBy("l", "cell").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).toPandas()
-    n_docs = counts.groupby("l")["docs"].sum()
-    langs = sorted(n_docs.index[n_docs * 1000 >= n_docs.sum()]) if len(n_docs) else []
+    schema = pa.schema([("l", pa.int32()), ("cell", pa.int32()), ("n", pa.float64())])
+    counts = sample.mapInArrow(count, "l int, cell int, n double").groupBy("l", "cell").agg(F.sum("n").alias("n")).toPandas()
     model = np.full((CELLS, len(langs) + 1), -math.log(CELLS), dtype=np.float32)
-    for i, lang in enumerate(langs):
-        own = counts[counts.l == lang]
+    for i in range(len(langs)):
+        own = counts[counts.l == i]
         p = np.full(CELLS, 0.1)
         p[own["cell"].to_numpy()] += own["n"].to_numpy()
         model[:, i] = np.log((1 - NOISE) * p / p.sum() + NOISE / CELLS)

@@ -398,6 +398,15 @@ def test_pages(spark):
     assert len(out) == pages.count() and np.mean([out[i].language == m[1] for i, m in lang.items() if m]) > 0.9 and not out[-1].kept
 
 
+def test_rare_declared_languages_stay(spark):
+    g = random.Random(5)
+    rare = ["".join(g.choice("абвгдежзиклмнопрст ") for _ in range(300)) for _ in range(2)]
+    rows = [(i, prose(g, 12), "en", "a", 0) for i in range(2500)] + [(9000 + i, t, "ru", "b", 0) for i, t in enumerate(rare)]
+    out = {r.doc_id: r for r in language.identify(frame(spark, rows), declared="lang", host="source").collect()}
+    assert [(out[i].language, out[i].kept) for i in (9000, 9001)] == [("ru", True)] * 2
+    assert np.mean([r.language == "en" for i, r in out.items() if i < 9000]) > 0.99
+
+
 def test_the_language_query_covers_documents_and_pages(spark):
     out = QUERIES["op7_fused_language_id"](spark, SF)
     docs, pages = common.table(spark, SF, "documents"), common.table(spark, SF, "pages")
