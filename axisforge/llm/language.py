@@ -6,13 +6,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from axisforge.llm.blobs import lean_memory
 from axisforge.llm.common import table, without, written
 
-#: The text model is fitted on this many documents of each declared language at most.
+#: The text model is fitted on this many distinct texts of each declared language at most.
 FIT = 20_000
 #: Byte trigrams are counted in this many cells (a power of 2).
 CELLS = 1 << 16
@@ -38,19 +38,28 @@ def trigram_cells(data: np.ndarray) -> np.ndarray:
 
 
 def fit_sample(docs: DataFrame, declared: str, text: str) -> tuple[DataFrame, list[str]]:
-    """The documents (l, t) that the text model is fitted on, and all declared languages."""
-    known = docs.where(F.col(declared).isNotNull() & (F.octet_length(text) > 2)).select(F.col(declared).alias("l"), F.col(text).alias("t"))
-    per = {r[0]: r[1] for r in known.groupBy("l").count().collect()}  # a row for each language
-    share = docs.sparkSession.createDataFrame([(lang, -(-n // FIT)) for lang, n in per.items()], "l string, one_in long")
-    return known.join(F.broadcast(share), "l").where(F.pmod(F.xxhash64("t"), "one_in") == 0).select("l", "t"), sorted(per)
+    """The documents (l, t) that the text model is fitted on, and all declared languages.
+
+    Of each language the FIT distinct texts with the smallest hashes, each once.
+    """
+    spark = docs.sparkSession
+    known = docs.where(F.col(declared).isNotNull() & (F.octet_length(text) > 2)).select(F.col(declared).alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    texts = written(known.select("l", "h").distinct(), "language-texts")
+    per = {r[0]: r[1] for r in texts.groupBy("l").count().collect()}  # a row for each language
+    # About twice as many hashes as needed are ranked, whatever the data.
+    near = [(lang, min(2**63 - 1, -(2**63) + 2**64 * (2 * FIT + 100) // n)) for lang, n in per.items()]
+    few = texts.join(F.broadcast(spark.createDataFrame(near, "l string, near long")), "l").where("h <= near")
+    few = few.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("rank") <= FIT)
+    last = few.groupBy("l").agg(F.max("h").alias("last"))
+    return known.join(F.broadcast(last), "l").where("h <= last").dropDuplicates(["l", "h"]).select("l", "t"), sorted(per)
 
 
 def fit_text_model(docs: DataFrame, declared: str, text: str) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities [cells, languages]) of byte trigrams, UNKNOWN last and uniform.
 
     Every language that a text of 3 bytes or more declares is one of them, however rare; a
-    language takes 256 KB. Each is fitted on about FIT of its documents at most, chosen by a
-    hash of their text.
+    language takes 256 KB. Each is fitted on FIT of its distinct texts at most, so that copies
+    count once.
     """
     sample, langs = fit_sample(docs, declared, text)
     at_lang = {lang: i for i, lang in enumerate(langs)}

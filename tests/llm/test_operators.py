@@ -407,6 +407,17 @@ def test_rare_declared_languages_stay(spark):
     assert np.mean([r.language == "en" for i, r in out.items() if i < 9000]) > 0.99
 
 
+def test_copies_count_once_in_the_text_model(spark, monkeypatch):
+    g = random.Random(6)
+    texts = [prose(g, 12) for _ in range(80)]
+    once, copied = (frame(spark, [(i, t, "en", "a", 0) for i, t in enumerate(rows)]) for rows in (texts, texts + texts[:1] * 300))
+    (langs, a), (_, b) = (language.fit_text_model(d, "lang", "text") for d in (once, copied))
+    assert langs == ["en", language.UNKNOWN] and np.array_equal(a, b)
+    monkeypatch.setattr(language, "FIT", 20)
+    sample, _ = language.fit_sample(copied, "lang", "text")
+    assert sample.count() == sample.distinct().count() == 20
+
+
 def test_the_language_query_covers_documents_and_pages(spark):
     out = QUERIES["op7_fused_language_id"](spark, SF)
     docs, pages = common.table(spark, SF, "documents"), common.table(spark, SF, "pages")
