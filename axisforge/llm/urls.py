@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html as markup
+import re
+from urllib.parse import urljoin
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +31,33 @@ def address(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1)), F.lit("://"), host_of(url), rest))
 
 
+def resolved(url: str | None, base: str | None, target: str | None) -> str | None:
+    """The address that target, as it stands in an attribute, has on the page url with the given base; null if it has none."""
+    decode = lambda t: re.sub(r"&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);", lambda m: markup.unescape(m[0]), t)
+    try:
+        for part in (base, target):
+            part = decode(part or "").strip()
+            # What has a host of its own stays as it is written.
+            url = part if re.match(r"[A-Za-z][A-Za-z0-9+.-]*://", part) else urljoin(url or "", part)
+    except ValueError:
+        return None
+    return url
+
+
 def html_links(pages: DataFrame) -> DataFrame:
-    """Edges (url, target) that pages themselves declare: canonical links and immediate redirects by meta refresh."""
+    """Edges (url, target) that pages themselves declare: all canonical links and immediate redirects by meta refresh.
+
+    Character references are decoded and relative targets resolved, against <base href> where a page has one.
+    """
     html = F.col("html")
     tag = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
     refresh = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*['\"]?([^\"'\s>]+)"
     has = F.lower(html)
     found = pages.where(has.contains("canonical") | has.contains("refresh"))
-    targets = F.array(F.regexp_extract(html, tag, 1), F.regexp_extract(html, refresh, 1))
-    return found.select("url", F.explode(targets).alias("target")).where("target <> ''")
+    base = r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+    targets = F.concat(F.regexp_extract_all(html, F.lit(tag), F.lit(1)), F.regexp_extract_all(html, F.lit(refresh), F.lit(1)))
+    links = found.select("url", F.regexp_extract(html, base, 1).alias("base"), F.explode(targets).alias("target")).where("target <> ''")
+    return links.select("url", F.udf(resolved, "string")("url", "base", "target").alias("target"))
 
 
 def matched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:

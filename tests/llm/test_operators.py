@@ -357,6 +357,31 @@ def test_the_longest_rule_wins(spark):
     assert got == {1: ("www.example.com/en/", "allow"), 2: ("example.com/en/", "block"), 3: ("com/", "allow"), 4: ("net/fr/", "block")}
 
 
+def test_links_in_all_usual_forms_make_aliases(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    pages = spark.createDataFrame(
+        [
+            (1, "https://good.org/a/1", link("/bad/x")),
+            (2, "https://good.org/a/2", link("../bad/x")),
+            (3, "http://good.org/3", link("//evil.org/x")),
+            (4, "https://good.org/4", '<meta http-equiv="refresh" content="0; url=/bad/y">'),
+            (5, "https://good.org/5", link("https://fine.org/") + link("http://evil.org/x")),
+            (6, "https://good.org/6", '<meta http-equiv=refresh content="0;url=/5"><meta http-equiv=refresh content="0;url=/bad/y">'),
+            (7, "https://good.org/7", link("https://evil.org/q?a=1&amp;b=2&#38;copy=3")),
+            (8, "https://evil.org/q?a=1&b=2&copy=3", None),
+            (9, "https://good.org/9", '<base href="/bad/">' + link("z")),
+            (10, "https://good.org/10", link("mailto:a@evil.org") + link("http://[") + link("/10")),
+            (11, None, link("/bad/x")),
+        ],
+        "page_id bigint, url string, html string",
+    )
+    rules = spark.createDataFrame([("evil.org", "/", "block"), ("good.org", "/bad/", "block")], RULES)
+    got = {r.page_id: r.verdict for r in urls.url_verdicts(pages, rules).collect()}
+    assert got == {i: "allow" if i > 9 else "block" for i in range(1, 12)}
+    targets = {(r.url, r.target) for r in urls.html_links(pages).collect()}
+    assert ("https://good.org/7", "https://evil.org/q?a=1&b=2&copy=3") in targets and ("http://good.org/3", "http://evil.org/x") in targets
+
+
 # 7: language
 
 
