@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from axisforge.llm.blobs import in_chunks, mix
@@ -14,16 +14,18 @@ from axisforge.llm.common import table, without, written
 
 #: Bytes of the longest n-gram.
 ORDER = 5
-#: The counts come from this many trusted documents at most; those that calibrate the thresholds are others.
-FIT = 20_000
-#: Shards of the counts; a position of a text meets only the shard of the byte before it.
+#: One in so many trusted documents is counted; the others calibrate the thresholds.
+FOLDS = 2
+#: The counts are scored against in parts of about this many rows, one in memory at a time.
+PART_ROWS = 1_000_000
+#: Tables of a part; a position of a text meets only that of the byte before it.
 SHARDS = 8
 #: The share of trusted documents of a language that lie below its threshold.
 QUANTILE = 0.999
 #: Bytes of average trusted text that every document counts for beside its own, as short texts vary widely.
 PRIOR = 100
-#: Bytes of text that are scored at once.
-SLICE = 1 << 19
+#: Bytes of text that are scored at once, and that meet a part of the counts each time it is read.
+SLICE, HELD = 1 << 19, 1 << 24
 
 
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -146,26 +148,73 @@ def log_probabilities(g: np.ndarray, model: list[Lookup]) -> np.ndarray:
     return out
 
 
-def scored(docs: DataFrame, text: str, model: list[Lookup], carry: list[str]) -> DataFrame:
-    """carry with `_af_bits` (the summed negative log probabilities of the bytes) and `_af_n` (bytes)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: from FIT documents
+def part_of(g, parts: int):
+    """The part of the counts for n-grams: by the two bytes before the last. Columns or arrays."""
+    if isinstance(g, Column):
+        two = F.call_function("shiftright", g, F.lit(8)).bitwiseAND(F.lit(0xFFFF))
+        return F.pmod(F.call_function("shiftright", (two * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(16)), F.lit(parts))
+    two = (g >> np.uint64(8)) & np.uint64(0xFFFF)
+    return ((two * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)) >> np.uint64(16)) % np.uint64(parts)
+
+
+def parted(model: DataFrame) -> list:
+    """Broadcasts of the model's parts. Orders 1 and 2, of 66,000 rows at most, are in each."""
+    parts = max(1, -(-model.count() // PART_ROWS))
+    last = F.when(F.col("is_context"), F.call_function("shiftleft", F.col("gram"), F.lit(8))).otherwise(F.col("gram"))
+    model = model if parts == 1 else written(model.withColumn("part", F.when(F.col("order") > 2, part_of(last, parts))), "quality-parts")
+    rows = lambda p: model if parts == 1 else model.where(F.col("part").isNull() | (F.col("part") == p)).drop("part")
+    return [model.sparkSession.sparkContext.broadcast(shards(rows(p).toArrow().to_pandas())) for p in range(parts)]
+
+
+def scored(docs: DataFrame, text: str, parts: list, carry: list[str]) -> DataFrame:
+    """carry with `_af_bits` (the summed negative log probabilities of the bytes) and `_af_n` (bytes).
+
+    A join of the texts' positions with the counts, part by part: HELD bytes of text meet one part after the other.
+    """
     schema = docs.select(*[F.col(f"`{c}`") for c in carry], F.lit(0.0).alias("_af_bits"), F.lit(0).cast("long").alias("_af_n")).schema
 
-    def score(batches):
+    def pieces(texts):
+        """(number of the first text, text numbers from it on, n-grams) for slices of the texts."""
+        for lo, hi in in_chunks(texts, SLICE):
+            if hi - lo == 1:
+                t = texts[lo]
+                for a in range(0, max(len(t), 1), SLICE):
+                    start = max(0, a - ORDER + 1)
+                    of, g = grams([t[start : a + SLICE]])
+                    yield lo, hi, of[a - start :], g[a - start :]
+            else:
+                yield lo, hi, *grams(texts[lo:hi])
+
+    def held(batches):
+        many, size = [], 0
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column(len(carry)).to_pylist()]
+            many.append(batch)
+            size += batch.nbytes
+            if len(parts) == 1 or size >= HELD:
+                yield many
+                many, size = [], 0
+        if many:
+            yield many
+
+    def score(batches):
+        for many in held(batches):
+            texts = [t.encode() if t else b"" for batch in many for t in batch.column(len(carry)).to_pylist()]
             total = np.zeros(len(texts))
-            for lo, hi in in_chunks(texts, SLICE):
-                if hi - lo == 1:
-                    t = texts[lo]
-                    for a in range(0, max(len(t), 1), SLICE):
-                        start = max(0, a - ORDER + 1)
-                        _, g = grams([t[start : a + SLICE]])
-                        total[lo] -= log_probabilities(g[a - start :], shared.value).sum()
-                else:
-                    of, g = grams(texts[lo:hi])
-                    total[lo:hi] -= np.bincount(of, weights=log_probabilities(g, shared.value), minlength=hi - lo)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(total), pa.array([len(t) for t in texts], pa.int64())], names=[*carry, "_af_bits", "_af_n"])
+            for p, part in enumerate(parts):
+                model = part.value
+                for lo, hi, of, g in pieces(texts):
+                    if len(parts) > 1:
+                        mine = part_of(g, len(parts)) == p
+                        of, g = of[mine], g[mine]
+                    total[lo:hi] -= np.bincount(of, weights=log_probabilities(g, model), minlength=hi - lo)
+                if len(parts) > 1:
+                    del model
+                    part.__dict__.pop("_value", None)  # read again from the executor's disk
+            at = 0
+            for batch in many:
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(total[at : at + n]), pa.array([len(t) for t in texts[at : at + n]], pa.int64())], names=[*carry, "_af_bits", "_af_n"])
+                at += n
 
     return docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`")).mapInArrow(score, schema)
 
@@ -174,8 +223,8 @@ def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id
     """The columns `carry` (by default all) with perplexity, threshold and kept.
 
     labels: (doc_id, quality, toxic); trusted are the documents of quality 1 that aren't
-    toxic. The byte n-gram model is fitted on FIT of them at most, chosen by a hash of the
-    id, and sharded by the byte before the last. A document's perplexity is that of its
+    toxic. The byte n-gram model is fitted on one in FOLDS of them, chosen by a hash of the
+    id, however many they are; its counts are read part by part. A document's perplexity is that of its
     bytes and PRIOR bytes of average trusted text of its language. The threshold of a
     language is the QUANTILE of the perplexities of its trusted documents that the model
     wasn't fitted on; of a language without any (null, say), that of all.
@@ -187,11 +236,9 @@ def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id
     names = without(docs, "perplexity", "threshold", "kept").columns if carry is None else carry
     good = labels.groupBy(F.col("doc_id").alias("_af_good")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and coalesce(t, 0) = 0 and _af_good is not null").select("_af_good")
     good = written(good, "quality-trusted")
-    half = max(2, -(-good.count() // FIT))
-    chosen = lambda c: F.pmod(F.xxhash64(c, F.lit("fit")), F.lit(half)) == 0
-    ids = good.where(chosen("_af_good")).orderBy("_af_good").limit(FIT)
-    trusted = docs.join(F.broadcast(ids), F.col(f"`{doc_id}`") == F.col("_af_good"), "left_semi")
-    model = shards(fit(trusted, text).toPandas())
+    chosen = lambda c: F.pmod(F.xxhash64(c, F.lit("fit")), F.lit(FOLDS)) == 0
+    trusted = docs.join(good.where(chosen("_af_good")), F.col(f"`{doc_id}`") == F.col("_af_good"), "left_semi")
+    model = parted(written(fit(trusted, text), "quality-table"))
     rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").alias("_af_id"), F.col(f"`{lang}`").alias("_af_lang"), F.col(f"`{text}`").alias("_af_text"))
     own = written(scored(rows, "_af_text", model, [*names, "_af_id", "_af_lang"]), "quality-scores")
     tested = own.select("_af_id", "_af_lang", "_af_bits", "_af_n").join(good.where(~chosen("_af_good")), F.col("_af_id") == F.col("_af_good")).where("_af_n > 0")

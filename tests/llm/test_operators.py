@@ -527,6 +527,23 @@ def test_quality_tells_held_out_junk_from_prose(spark):
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.3
 
 
+def test_quality_counts_all_trusted_documents_in_bounded_parts(spark, monkeypatch):
+    docs, labels = (common.table(spark, SF, t) for t in ("documents", "labels"))
+    whole = {r.doc_id: r.perplexity for r in quality.kneser_ney_quality(docs, labels, carry=["doc_id"]).collect()}
+    monkeypatch.setattr(quality, "PART_ROWS", 20_000)
+    monkeypatch.setattr(quality, "HELD", 100_000)
+    parts, made = [], quality.parted
+    monkeypatch.setattr(quality, "parted", lambda model: parts.append(made(model)) or parts[-1])
+    out = {r.doc_id: r.perplexity for r in quality.kneser_ney_quality(docs, labels, carry=["doc_id"]).collect()}
+    assert len(parts[0]) > 1 and out.keys() == whole.keys() and all(out[i] == pytest.approx(whole[i], rel=1e-6) for i in out)
+    # The counts grow with the trusted documents.
+    many = spark.range(50_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "1 AS quality", "0 AS toxic")
+    counted, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda trusted, text: counted.append(trusted.count()) or fit(trusted, text))
+    quality.kneser_ney_quality(many.select("doc_id", "text", "lang"), many.select("doc_id", "quality", "toxic"))
+    assert 24_000 < counted[0] < 26_000
+
+
 def test_quality_of_edge_cases(spark, docs, none):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(3, 1, 0), (None, 1, 0), (5, None, None)], "doc_id bigint, quality int, toxic int")
     out = quality.kneser_ney_quality(docs.withColumn("threshold", F.lit("clash")), labels).collect()
