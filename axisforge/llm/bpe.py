@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 
 from axisforge.llm.blobs import lean_memory
 
-#: Encodings of pieces that a worker keeps, in two generations of this size.
-MEMO = 200_000
-#: Junctions of two tokens of which a worker keeps whether they are valid.
-JUNCTIONS = 300_000
+#: Bytes of encodings that are kept in a task, in two generations of this size; an entry has ENTRY bytes beside its strings.
+MEMO, ENTRY = 32 << 20, 220
+#: Junctions of two tokens of which a task keeps whether they are valid.
+JUNCTIONS = 250_000
 #: Rows that are encoded and handed on at once.
 ROWS = 500
 _SHIFT = 24
@@ -89,12 +89,15 @@ class Vocabulary:
             else:
                 return True
 
+    def forget(self) -> None:
+        for _, _, valid in self.automaton.values():
+            valid.clear()
+        self.known = 0
+
     def after(self, before: int, token: int, valid: dict[int, bool]) -> bool:
         """Whether token may follow before; remembered in `valid`, of which JUNCTIONS are kept in all."""
         if self.known >= JUNCTIONS:
-            for _, _, v in self.automaton.values():
-                v.clear()
-            self.known = 0
+            self.forget()
         self.known += 1
         ok = valid[before] = self.stays(before, token)
         return ok
@@ -186,15 +189,24 @@ class Memo(dict):
     """piece -> its ids, joined by spaces; the pieces least recently met are forgotten by generations."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.older = vocabulary, {}
+        self.vocabulary, self.older, self.held = vocabulary, {}, 0
+
+    def forget(self) -> None:
+        """What was learnt goes back to the system: a worker outlives its task, and the vocabulary alone is worth keeping."""
+        self.clear()
+        self.older, self.held = {}, 0
+        self.vocabulary.forget()
+        lean_memory()
 
     def __missing__(self, piece: str) -> str:
         ids = self.older.get(piece)
         if ids is None:
             ids = " ".join(map(str, self.vocabulary.encode(piece.encode())))
-        if len(self) >= MEMO:
+        if self.held >= MEMO:
             self.older = dict(self)
             self.clear()
+            self.held = 0
+        self.held += len(piece) + len(ids) + ENTRY
         self[piece] = ids
         return ids
 
@@ -215,13 +227,14 @@ RESULTS = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "ids_sha256": pa
 SQL_TYPES = {"ids": "array<int>", "n_tokens": "bigint", "ids_sha256": "string", "decoded": "binary", "decoded_sha256": "string"}
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str, results: tuple[str, ...] = ("ids", "n_tokens"), carry: list[str] | None = None) -> DataFrame:
-    """The columns `carry` of docs (by default all) with `results`, any of RESULTS, of the whole column text.
+def bpe_encode(docs: DataFrame, path: str, pattern: str, results: tuple[str, ...] = ("ids", "n_tokens"), carry: list[str] | None = None, text: str = "text") -> DataFrame:
+    """The columns `carry` of docs (by default all) with `results`, any of RESULTS, of the whole column `text`.
 
     path: a rank file that each executor can open; pattern: cuts the text into pieces, which
     are encoded separately. Special tokens are ordinary text. Null texts count as empty, and
     an empty text has no ids. Long texts cost time and memory in proportion. Rows map to
-    rows, without a shuffle; columns with the names of the results are replaced.
+    rows, without a shuffle, so that repeated rows stay and an empty table gives an empty
+    one; columns with the names of the results are replaced.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c.lower() not in {r.lower() for r in results}]
     fields = {f.name: f for f in docs.schema.fields}
@@ -232,30 +245,34 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, results: tuple[str, ...
     def encode(batches):
         lean_memory()
         memo, split, by_id = encoder(path, pattern)
-        piece_ids, token = memo.__getitem__, by_id.__getitem__
-        for whole in batches:
-            for lo in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(lo, ROWS)
-                out = {r: [] for r in results}
-                for text in batch.column(batch.num_columns - 1):
-                    ids = " ".join(map(piece_ids, split(text.as_py() or "")))
-                    if "ids" in out:
-                        out["ids"].append(np.fromstring(ids, dtype=np.int32, sep=" "))
-                    if "n_tokens" in out:
-                        out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
-                    if "ids_sha256" in out:
-                        out["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
-                    if decode:
-                        data = b"".join(map(token, ids.split()))
-                        if "decoded" in out:
-                            out["decoded"].append(data)
-                        if "decoded_sha256" in out:
-                            out["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(out[r], RESULTS[r]) for r in results)], names=[*names, *results])
+        try:
+            for whole in batches:
+                for lo in range(0, whole.num_rows, ROWS):
+                    yield encoded(whole.slice(lo, ROWS), memo.__getitem__, split, by_id.__getitem__)
+        finally:
+            memo.forget()
+
+    def encoded(batch, piece_ids, split, token):
+        out = {r: [] for r in results}
+        for text in batch.column(batch.num_columns - 1):
+            ids = " ".join(map(piece_ids, split(text.as_py() or "")))
+            if "ids" in out:
+                out["ids"].append(np.fromstring(ids, dtype=np.int32, sep=" "))
+            if "n_tokens" in out:
+                out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
+            if "ids_sha256" in out:
+                out["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
+            if decode:
+                data = b"".join(map(token, ids.split()))
+                if "decoded" in out:
+                    out["decoded"].append(data)
+                if "decoded_sha256" in out:
+                    out["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(out[r], RESULTS[r]) for r in results)], names=[*names, *results])
 
     from pyspark.sql import functions as F
 
-    return docs.select(*map(quoted, names), F.col("text").alias("_af_text")).mapInArrow(encode, schema)
+    return docs.select(*map(quoted, names), F.col(quoted(text)).alias("_af_text")).mapInArrow(encode, schema)
 
 
 def op5_prefix_bpe(spark, sf_dir):

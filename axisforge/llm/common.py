@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
-from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from axisforge.sources.scratch import discard, written
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -28,49 +25,18 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *have])
 
 
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        app = spark.sparkContext.applicationId
-        if app not in _OWN:
-            own = tempfile.mkdtemp(prefix="axisforge-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-            _OWN[app] = f"file://{own}"
-        place = _OWN[app]
-    return place.rstrip("/")
-
-
-#: While an intermediate result is written: its shuffles go when it is there, and Python gets texts in small batches.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+def partitions(spark: SparkSession, size: int = 0, each: int = 1) -> int:
+    """Shuffle partitions: as many as the session asks for, and no fewer than it takes for `size` at `each`."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+def text_bytes(docs: DataFrame, text: str) -> int:
+    return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and returns the table: lineage ends here, lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/axisforge/{name}-{uuid.uuid4().hex}"
-    with settings(spark, WRITING):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart where ids are missing or shared: 64 bits of hash of id and text."""
+    return F.xxhash64(doc_id, text)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
@@ -99,6 +65,17 @@ def ranked(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
     )
 
 
+def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df with `name`, a gapless rank from 0 in `order`: ranges are sorted apart, and only their counts meet."""
+    at, part, n, off = "_af_at", "_af_part", "_af_n", "_af_off"
+    sorted_ = written(df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()), "ranked")
+    sorted_ = sorted_.withColumn(part, F.call_function("shiftright", F.col(at), F.lit(33)))
+    counts = sorted_.groupBy(part).agg(F.count(F.lit(1)).alias(n))  # a row for each range
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
+    return sorted_.join(counts, part).withColumn(name, F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + F.col(off)).drop(at, part, off)
+
+
 def _contracted(edges: DataFrame, name: str) -> DataFrame:
     """Stars (a, b) with the components of edges (a > b), b the smallest node: large-star and small-star steps by turns."""
     while True:
@@ -111,7 +88,8 @@ def _contracted(edges: DataFrame, name: str) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         met = large.join(low, "a")
         small = met.select("a", F.col("m").alias("b")).unionByName(met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        edges = written(small, name)
+        last, edges = edges, written(small, name)
+        discard(last)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -128,9 +106,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     edges = written(edges.distinct(), name)
     tree = written(edges.groupBy("a").agg(F.min("b").alias("m")), name)
     core = written(edges.join(tree, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+    discard(edges)
     hubs = tree.select(F.col("m").alias("n")).unionByName(core.select(F.col("a").alias("n"))).distinct()
     hubs = written(hubs, name)
     graph = written(core.unionByName(tree.join(hubs, tree.a == hubs.n, "left_semi").withColumnRenamed("m", "b")).distinct(), name)
+    discard(core)
     stars = _contracted(graph, name).select(F.col("a").alias("_s"), F.col("b").alias("_to"))
     nodes = tree.select(F.col("a").alias("node"), F.col("m").alias("up")).unionByName(hubs.select(F.col("n").alias("node"), F.col("n").alias("up")))
     return nodes.join(stars, F.col("up") == F.col("_s"), "left").select("node", F.coalesce("_to", "up").alias("component")).distinct()

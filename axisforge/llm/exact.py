@@ -19,6 +19,31 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
+def _ranges(rows: DataFrame, doc_id: Column, text: Column) -> tuple[DataFrame, Column]:
+    """rows with text_sha256, _af_id, _af_key (of the text) and _af_range; and whether a row's text lies at a splitter.
+
+    Splitters are sampled keys (start of the text, digest, id) in a total order of (text, id)
+    in which equal texts are neighbours. Only texts at a splitter lie in several ranges.
+    """
+    ranges = RANGES * partitions(rows.sparkSession)
+    norm = normalised(text)
+    rows = rows.withColumn("text_sha256", F.sha2(norm, 256)).withColumn("_af_id", doc_id)
+    text_key = F.concat_ws(".", F.hex(F.substring(norm, 1, HEAD).cast("binary")), "text_sha256")
+    id_key = F.coalesce(F.lpad(F.hex(F.xxhash64("_af_id")), 16, "0"), F.lit("~"))
+    rows = rows.withColumn("_af_key", text_key).withColumn("_af_at", F.concat_ws(".", "_af_key", id_key))
+    share = SAMPLED * ranges / max(1, rows.count())
+    keys = sorted((rows.sample(share, seed=7) if share < 1 else rows).select("_af_at", "_af_key").collect())  # about SAMPLED * ranges
+    splitters = sorted({tuple(keys[i * len(keys) // ranges]) for i in range(1, ranges)}) if keys else []
+    # One constant for the plan, in sorted order; keys have no commas.
+    at = F.split(F.lit(",".join(k for k, _ in splitters)), ",")
+    edges = F.split(F.lit(",".join(sorted({k for _, k in splitters}))), ",")
+    n = len(splitters)
+    steps = [1 << k for k in reversed(range(max(n, 1).bit_length()))]
+    search = lambda lo, step: F.when((lo + step <= n) & (F.get(at, lo + step - 1) <= F.col("_af_at")), lo + step).otherwise(lo)
+    rows = rows.withColumn("_af_range", F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), search) if n else F.lit(0))
+    return rows.drop("_af_at"), F.array_contains(edges, F.col("_af_key"))
+
+
 def content_sort(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Rows of docs (the columns `carry`, by default all) with keep_id, group_size, kept and text_sha256.
 
@@ -34,39 +59,17 @@ def content_sort(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
     of the results are replaced.
     """
     added = ["keep_id", "group_size", "kept", "text_sha256"]
-    spark = docs.sparkSession
-    ranges = RANGES * partitions(spark)
     names = without(docs, *added).columns if carry is None else carry
     cols = [F.col(f"`{c}`") for c in names]
-    rows = docs.select(*cols, F.col(f"`{doc_id}`").alias("_af_id"), normalised(F.col(f"`{text}`")).alias("_af_text"))
-    rows = rows.withColumn("text_sha256", F.sha2("_af_text", 256))
-    # A total order of (text, id) in which equal texts are neighbours.
-    text_key = F.concat_ws(".", F.hex(F.substring("_af_text", 1, HEAD).cast("binary")), "text_sha256")
-    id_key = F.coalesce(F.lpad(F.hex(F.xxhash64("_af_id")), 16, "0"), F.lit("~"))
-    rows = rows.withColumn("_af_key", text_key).withColumn("_af_at", F.concat_ws(".", "_af_key", id_key))
-
-    one_in = max(1, docs.count() // (SAMPLED * ranges))
-    sample = rows.where(F.pmod(F.xxhash64("_af_id", F.lit("sample")), F.lit(one_in)) == 0).select("_af_at", "_af_key")
-    keys = sorted(sample.collect())
-    splitters = sorted({tuple(keys[i * len(keys) // ranges]) for i in range(1, ranges)}) if keys else []
-    # One constant for the plan, in sorted order; keys have no commas.
-    at = F.split(F.lit(",".join(k for k, _ in splitters)), ",")
-    edges = F.split(F.lit(",".join(sorted({k for _, k in splitters}))), ",")
-    n = len(splitters)
-    steps = [1 << k for k in reversed(range(max(n, 1).bit_length()))]
-    search = lambda lo, step: F.when((lo + step <= n) & (F.get(at, lo + step - 1) <= F.col("_af_at")), lo + step).otherwise(lo)
-    rows = rows.withColumn("_af_range", F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), search) if n else F.lit(0))
-
-    # The normalised text isn't moved beside the text itself.
-    placed = rows.drop("_af_at", *(["_af_text"] if text in names else [])).repartition("_af_range")
-    if text in names:
-        placed = placed.withColumn("_af_text", normalised(F.col(f"`{text}`")))
+    rows, edge = _ranges(docs.select(*cols, F.col(f"`{doc_id}`").alias("_af_own"), F.col(f"`{text}`").alias("_af_raw")), F.col("_af_own"), F.col("_af_raw"))
+    raw = F.col(f"`{text}`") if text in names else F.col("_af_raw")  # a text isn't moved twice
+    placed = (rows.drop("_af_raw") if text in names else rows).repartition("_af_range").withColumn("_af_text", normalised(raw))
     group = Window.partitionBy("_af_range", "_af_text").orderBy(F.col("_af_id").asc_nulls_last())
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sorted_ = placed.select(
         *cols, "_af_id", "_af_key", "_af_range", "text_sha256",
         F.row_number().over(group).alias("_af_nth"), F.first("_af_id").over(whole).alias("_af_first"), F.count(F.lit(1)).over(whole).alias("_af_n"),
-        F.array_contains(edges, F.col("_af_key")).alias("_af_edge"),
+        edge.alias("_af_edge"),
     )
     sorted_ = written(sorted_, "content-sort")
     parts = sorted_.where("_af_edge and _af_nth = 1").select(F.col("_af_key").alias("_af_k"), "_af_range", "_af_first", "_af_n")
@@ -84,12 +87,27 @@ def content_sort(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """docs less the later copies of equal texts; columns as they were."""
+    """docs less the later copies of equal texts; columns as they were.
+
+    As content_sort, but only the rows that stay come out: a sorted aggregate compares each
+    text with the one before and holds one row at a time, whatever the number of copies.
+    Nulls, empty texts, ties and repeated rows as there; of rows with one id and equal texts
+    the one of the least hash stays.
+    """
     cols = [F.col(f"`{c}`") for c in docs.columns]
     own = docs.select(*[c.alias(f"_af_own{i}") for i, c in enumerate(cols)])
     at = {c: f"_af_own{i}" for i, c in enumerate(docs.columns)}
-    kept = content_sort(own, at["doc_id"], at["text"]).where("kept")
-    return kept.select(*[F.col(a).alias(c) for c, a in at.items()])
+    text = F.col(at["text"])
+    rows, edge = _ranges(own, F.col(at["doc_id"]), text)
+    first = F.struct(F.col("_af_id").isNull(), F.col("_af_id"), F.xxhash64(*own.columns))
+    rows = rows.withColumn("_af_first", first)
+    # A text at a splitter keeps the row of the range that has its smallest id: a row for each splitter at most.
+    homes = rows.where(edge).groupBy(F.col("_af_key").alias("_af_k")).agg(F.min_by("_af_range", F.struct("_af_first", "_af_range")).alias("_af_home"))
+    homes = written(homes, "content-homes")
+    sorted_ = rows.select(*own.columns, "_af_first", "_af_key", "_af_range").repartition("_af_range")
+    kept = sorted_.groupBy("_af_range", normalised(text).alias("_af_text")).agg(F.min_by(F.struct(*own.columns, "_af_key"), "_af_first").alias("_af_row"))
+    kept = kept.select("_af_range", "_af_row.*").join(F.broadcast(homes), F.col("_af_key") == F.col("_af_k"), "left")
+    return kept.where("_af_home is null or _af_home = _af_range").select(*[F.col(a).alias(c) for c, a in at.items()])
 
 
 def op8_content_sort_dedup(spark, sf_dir):
