@@ -28,6 +28,7 @@ QUERIES = {
     )
 }
 SQL = {
+    "op1_lpt_shards": sharding.OP1_SQL,
     "op3_water_fill_mix": mixing.OP3_SQL,
     "op6_redirect_url_filter": urls.OP6_SQL,
     "op8_content_sort_dedup": exact.OP8_SQL,
