@@ -130,17 +130,17 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 RUN = 1 << 23
 
 
-def runs(batches):
-    """(rows of numbers [column][row], texts as bytes) of about RUN bytes, from Arrow batches of long columns and a text."""
+def runs(batches, size: int = RUN):
+    """(rows of numbers [column][row], texts as bytes) of about `size` bytes, from Arrow batches of long columns and a text."""
     numbers, texts, held = [], [], 0
     for batch in batches:
         own = [t or b"" for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
-        columns = np.array([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns - 1)], dtype=np.int64).reshape(batch.num_columns - 1, -1)
-        for lo, hi in in_chunks(own, RUN):
+        columns = np.array([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns - 1)], dtype=np.int64).reshape(batch.num_columns - 1, batch.num_rows)
+        for lo, hi in in_chunks(own, size):
             numbers.append(columns[:, lo:hi])
             texts += own[lo:hi]
             held += sum(map(len, own[lo:hi]))
-            if held >= RUN:
+            if held >= size:
                 yield np.concatenate(numbers, axis=1), texts
                 numbers, texts, held = [], [], 0
     if texts:
@@ -185,8 +185,16 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.mod(hash_longs(keys).astype(np.int64), parts).astype(np.int32)
 
 
+KEYED = 1 << 13
+
+
 def part_keys(parts: int) -> list[int]:
-    """A number for each part that a shuffle by it into `parts` partitions sends to the partition of that number."""
+    """A number for each part that a shuffle by it into `parts` partitions sends to the partition of that number.
+
+    Beyond KEYED parts the numbers are the parts': some partitions then get several parts, and the plan holds no long list.
+    """
+    if parts > KEYED:
+        return list(range(parts))
     out, left, lo = [-1] * parts, parts, 0
     while left:
         x = np.arange(lo, lo + 16 * parts, dtype=np.int32)

@@ -1,101 +1,81 @@
-"""A quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text."""
+"""A quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
+
+The model is a table of n-gram probabilities, dealt out in shards. Each document's n-grams are counted,
+the counts are dealt out to the same shards, and joins of the two give each document's perplexity. Neither
+the model nor the documents' counts ever meet in one place.
+"""
 
 from __future__ import annotations
 
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from axisforge.llm.blobs import in_chunks, mix
-from axisforge.llm.common import table, without, written
+from axisforge.llm.blobs import in_chunks, lean_memory, pack, runs, starts, steps, unpack
+from axisforge.llm.common import discard, row_key, table, text_bytes, without, written
 
 #: Bytes of the longest n-gram.
 ORDER = 5
 #: One in so many trusted documents is counted; the others calibrate the thresholds.
 FOLDS = 2
-#: The counts are scored against in parts of about this many rows, one in memory at a time.
-PART_ROWS = 1_000_000
-#: Tables of a part; a position of a text meets only that of the byte before it.
-SHARDS = 8
-#: The share of trusted documents of a language that lie below its threshold.
-QUANTILE = 0.999
-#: Bytes of average trusted text that every document counts for beside its own, as short texts vary widely.
-PRIOR = 100
-#: Bytes of text that are scored at once, and that meet a part of the counts each time it is read.
-SLICE, HELD = 1 << 19, 1 << 24
+#: The model has this many shards at least, and more if one would hold over SHARD_ROWS rows.
+SHARDS, SHARD_ROWS = 8, 500_000
+#: Bytes of text, for each shard, whose counts meet one copy of it.
+GROUP = 8 << 20
+#: The share of trusted documents of a language that lie at or below its threshold.
+QUANTILE = 0.99
+#: Bytes of text that are counted at once.
+RUN = 1 << 22
+
+#: The upper 40 bits hold an n-gram, the lower 24 the number of its document in a run.
+_GRAM, _DOC = np.uint64(0xFFFFFFFFFF000000), np.uint64(0xFFFFFF)
 
 
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """(text number, n-gram that ends there) for each byte; the bytes before a text are zeros."""
-    n = np.array([len(t) for t in texts], dtype=np.int64)
+    size = np.array([len(t) for t in texts], dtype=np.int64)
     pad = bytes(order - 1)
-    data = np.frombuffer(b"".join(pad + t for t in texts), dtype=np.uint8)
-    of = np.repeat(np.arange(len(texts)), n)
-    at = np.arange(len(of)) + (of + 1) * (order - 1)
-    packed = np.zeros(len(data), dtype=np.uint64)
-    for k in range(order):
-        packed[k:] |= data[: len(data) - k].astype(np.uint64) << np.uint64(8 * k)
-    return of, packed[at]
-
-
-class Lookup:
-    """64-bit keys and their values by open addressing, for whole arrays at a time."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        size = 1 << max(4, (2 * len(keys)).bit_length())
-        self.last = np.uint64(size - 1)
-        self.keys = np.full(size, ~np.uint64(0), dtype=np.uint64)
-        self.values = np.zeros(size, dtype=np.float32)
-        left, slot = np.arange(len(keys)), mix(keys) & self.last
-        while len(left):
-            free = np.flatnonzero(self.keys[slot] == ~np.uint64(0))
-            put, first = np.unique(slot[free], return_index=True)
-            self.keys[put], self.values[put] = keys[left[free[first]]], values[left[free[first]]]
-            rest = np.ones(len(left), dtype=bool)
-            rest[free[first]] = False
-            left, slot = left[rest], (slot[rest] + np.uint64(1)) & self.last
-
-    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(found, value), the value 0 if not."""
-        slot = mix(keys) & self.last
-        got = self.keys[slot]
-        found = got == keys
-        value = np.where(found, self.values[slot], np.float32(0))
-        left = np.flatnonzero(~found & (got != ~np.uint64(0)))
-        slot = slot[left]
-        while len(left):
-            slot = (slot + np.uint64(1)) & self.last
-            got = self.keys[slot]
-            hit = got == keys[left]
-            found[left[hit]] = True
-            value[left[hit]] = self.values[slot[hit]]
-            more = ~hit & (got != ~np.uint64(0))
-            left, slot = left[more], slot[more]
-        return found, value
-
-
-def _tag(order: int, context: bool) -> np.uint64:
-    return np.uint64((order + 16 * context) << 56)
+    data = b"".join(x for t in texts for x in (pad, t)) + bytes(8)
+    # Eight bytes from each place on, of which the first are the n-gram.
+    eight = np.ndarray((len(data) - 8,), dtype=">u8", buffer=data, strides=(1,)).astype(np.uint64)
+    inside = np.ones(len(eight), dtype=bool)
+    ends = np.cumsum(size + order - 1)
+    for k in range(1, order):
+        inside[ends - k] = False
+    return np.repeat(np.arange(len(texts)), size), eight[inside] >> np.uint64(8 * (8 - order))
+
+
+def pieces(texts: list[bytes]):
+    """(number of the first text, how many, text numbers from it on, n-grams) for runs of texts; a long text comes in slices."""
+    for lo, hi in in_chunks(texts, RUN):
+        if hi - lo > 1:
+            yield lo, hi - lo, *grams(texts[lo:hi])
+        else:
+            for a in range(0, len(texts[lo]), RUN):
+                start = max(0, a - ORDER + 1)
+                of, g = grams([texts[lo][start : a + RUN]])
+                yield lo, 1, of[a - start :], g[a - start :]
 
 
 def fit(trusted: DataFrame, text: str) -> DataFrame:
-    """(order, context, gram, value): log probabilities of n-grams, and log weights of contexts for the next lower order.
+    """(order, is_context, gram, value): log probabilities of n-grams, and log weights of contexts for the next lower order.
 
     Counts are grouped aggregates; those of lower orders count the distinct bytes before an
     n-gram. The discounts of each order come from how many n-grams occur 1, 2, 3 and 4 times.
     """
 
     def count(batches):
-        for batch in batches:
-            texts = [t.encode() for t in batch.column(0).to_pylist() if t]
-            for lo, hi in in_chunks(texts):
-                g, n = np.unique(grams(texts[lo:hi])[1], return_counts=True)
+        lean_memory()
+        for _, texts in runs(batches, RUN):
+            for _, _, _, g in pieces(texts):
+                g, n = np.unique(g, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
-    full = trusted.select(text).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    full = trusted.where(F.octet_length(text) > 0).select(text).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     levels = {ORDER: written(full, "quality-counts")}
     for k in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
@@ -119,104 +99,140 @@ def fit(trusted: DataFrame, text: str) -> DataFrame:
     return out
 
 
-def shards(model) -> list[Lookup]:
-    """The model's rows (a pandas frame) by the byte before the last: for a context, its last byte."""
-    order, context = model["order"].to_numpy(), model["is_context"].to_numpy().astype(bool)
-    gram = model["gram"].to_numpy().astype(np.int64).view(np.uint64)
-    key = gram | ((order + 16 * context).astype(np.uint64) << np.uint64(56))
-    before = np.where(context, gram, gram >> np.uint64(8)) & np.uint64(0xFF)
-    everywhere = order == 1
-    return [Lookup(key[m], model["value"].to_numpy(dtype=np.float32)[m]) for m in (everywhere | (before % np.uint64(SHARDS) == s) for s in range(SHARDS))]
+class Shard:
+    """Rows of the model by sorted keys: the n-gram or context, above it its order and kind."""
 
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
 
-def log_probabilities(g: np.ndarray, model: list[Lookup]) -> np.ndarray:
-    """The log probability of the last byte of each n-gram after the others, from the longest order that is known down."""
-    out = np.zeros(len(g), dtype=np.float64)
-    of = (g >> np.uint64(8)) & np.uint64(0xFF) & np.uint64(SHARDS - 1)
-    for s, lookup in enumerate(model):
-        left = np.flatnonzero(of == s)
+    @classmethod
+    def of(cls, rows: pd.DataFrame) -> Shard:
+        kind = rows["order"].to_numpy(dtype=np.uint64) + np.uint64(16) * rows["is_context"].to_numpy(dtype=bool).astype(np.uint64)
+        keys = rows["gram"].to_numpy(dtype=np.int64).view(np.uint64) | (kind << np.uint64(56))
+        order = np.argsort(keys)
+        return cls(keys[order], rows["value"].to_numpy(dtype=np.float32)[order])
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(found, value), the value 0 if not."""
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.float32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = self.keys[at] == keys
+        return found, np.where(found, self.values[at], np.float32(0))
+
+    def log_probabilities(self, g: np.ndarray) -> np.ndarray:
+        """The log probability of the last byte of each n-gram after the others, from the longest order that is known down."""
+        out = np.zeros(len(g), dtype=np.float64)
+        left = np.arange(len(g))
         for k in range(ORDER, 0, -1):
-            if not len(left):
-                break
             own = g[left] & np.uint64((1 << 8 * k) - 1)
-            found, value = lookup.get(own | _tag(k, False))
+            found, value = self.get(own | np.uint64(k << 56))
             out[left[found]] += value[found]
             left = left[~found]
-            _, weight = lookup.get((own[~found] >> np.uint64(8)) | _tag(k, True))
+            _, weight = self.get((own[~found] >> np.uint64(8)) | np.uint64((k + 16) << 56))
             out[left] += weight  # 0 for an unknown context
         out[left] -= math.log(256)
-    return out
+        return out
 
 
-def part_of(g, parts: int):
-    """The part of the counts for n-grams: by the two bytes before the last. Columns or arrays."""
+def shard_of(g, shards: int):
+    """The shard of n-grams, and of the contexts that a zero byte is put after: by the two bytes before the last. Columns or arrays."""
     if isinstance(g, Column):
         two = F.call_function("shiftright", g, F.lit(8)).bitwiseAND(F.lit(0xFFFF))
-        return F.pmod(F.call_function("shiftright", (two * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(16)), F.lit(parts))
+        return F.pmod(F.call_function("shiftright", (two * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(16)), F.lit(shards)).cast("int")
     two = (g >> np.uint64(8)) & np.uint64(0xFFFF)
-    return ((two * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)) >> np.uint64(16)) % np.uint64(parts)
+    return (((two * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)) >> np.uint64(16)) % np.uint64(shards)).astype(np.int64)
 
 
-def parted(model: DataFrame) -> list:
-    """Broadcasts of the model's parts. Orders 1 and 2, of 66,000 rows at most, are in each."""
-    parts = max(1, -(-model.count() // PART_ROWS))
+def sharded(model: DataFrame) -> tuple[DataFrame, int]:
+    """((shard, model): its rows packed, their number). Orders 1 and 2, of 66,000 rows at most, are in each."""
+    shards = max(SHARDS, -(-model.count() // SHARD_ROWS))
     last = F.when(F.col("is_context"), F.call_function("shiftleft", F.col("gram"), F.lit(8))).otherwise(F.col("gram"))
-    model = model if parts == 1 else written(model.withColumn("part", F.when(F.col("order") > 2, part_of(last, parts))), "quality-parts")
-    rows = lambda p: model if parts == 1 else model.where(F.col("part").isNull() | (F.col("part") == p)).drop("part")
-    return [model.sparkSession.sparkContext.broadcast(shards(rows(p).toArrow().to_pandas())) for p in range(parts)]
+    to = F.when(F.col("order") > 2, F.array(shard_of(last, shards))).otherwise(F.sequence(F.lit(0), F.lit(shards - 1)))
+
+    def packed(rows: pd.DataFrame) -> pd.DataFrame:
+        s = Shard.of(rows)
+        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "model": [pack(s.keys, s.values)]})
 
+    rows = model.select(F.explode(to).alias("shard"), "order", "is_context", "gram", "value")
+    return written(rows.groupBy("shard").applyInPandas(packed, "shard int, model binary"), "quality-shards"), shards
 
-def scored(docs: DataFrame, text: str, parts: list, carry: list[str]) -> DataFrame:
-    """carry with `_af_bits` (the summed negative log probabilities of the bytes) and `_af_n` (bytes).
 
-    A join of the texts' positions with the counts, part by part: HELD bytes of text meet one part after the other.
+def document_counts(docs: DataFrame, shards: int, groups: int) -> DataFrame:
+    """(cell, blob): the n-gram counts of the documents (key, text) of each run, by shard; cell is the group of runs and the shard.
+
+    A blob packs the documents' keys, the distinct n-grams in order, for each the number of
+    its documents, and for each n-gram and document the document's number and the count.
+    """
+    schema = pa.schema([("cell", pa.int32()), ("blob", pa.binary())])
+
+    def count(batches):
+        from pyspark import TaskContext
+
+        lean_memory()
+        turn = TaskContext.get().partitionId()
+        for (keys,), texts in runs(batches, RUN):
+            for first, n, of, g in pieces(texts):
+                turn += 1
+                out = [(turn % groups * shards + s, blob) for s, blob in blobs(keys[first : first + n], of, g)]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    def blobs(keys: np.ndarray, of: np.ndarray, g: np.ndarray):
+        both = (g << np.uint64(24)) | of.astype(np.uint64)
+        both.sort()
+        first = np.flatnonzero(starts(both))
+        n = np.diff(np.append(first, len(both))).astype(np.uint32)
+        both = both[first]
+        new = np.flatnonzero(starts(both & _GRAM))  # where each distinct n-gram starts
+        docs_each = np.diff(np.append(new, len(both)))
+        gram, doc = both[new] >> np.uint64(24), (both & _DOC).astype(np.uint32)
+        shard = shard_of(gram, shards)
+        of_pair = np.repeat(shard.astype(np.uint16), docs_each)
+        order = np.argsort(of_pair, kind="stable")
+        cuts = np.searchsorted(of_pair[order], np.arange(shards + 1))
+        for s in range(shards):
+            at, mine = order[cuts[s] : cuts[s + 1]], shard == s
+            if len(at):
+                gap = np.diff(doc[at], prepend=np.uint32(0))
+                begin = np.cumsum(docs_each[mine]) - docs_each[mine]
+                gap[begin] = doc[at[begin]]
+                yield s, pack(keys, steps(gram[mine]), docs_each[mine].astype(np.uint32), gap, n[at])
+
+    return docs.select("key", "text").mapInArrow(count, "cell int, blob binary")
+
+
+def scores(docs: DataFrame, model: DataFrame, size: int) -> DataFrame:
+    """(key, bits, n): for each key the summed negative log probabilities of its bytes, and their number.
+
+    docs: (key, text), no text empty; size: bytes of all texts. The shards of the model are
+    copied to each group of runs of text, GROUP bytes for each shard, so that what moves of
+    the model stays in proportion to the text however large the model is, and a task holds
+    one shard and the counts of about GROUP bytes.
     """
-    schema = docs.select(*[F.col(f"`{c}`") for c in carry], F.lit(0.0).alias("_af_bits"), F.lit(0).cast("long").alias("_af_n")).schema
-
-    def pieces(texts):
-        """(number of the first text, text numbers from it on, n-grams) for slices of the texts."""
-        for lo, hi in in_chunks(texts, SLICE):
-            if hi - lo == 1:
-                t = texts[lo]
-                for a in range(0, max(len(t), 1), SLICE):
-                    start = max(0, a - ORDER + 1)
-                    of, g = grams([t[start : a + SLICE]])
-                    yield lo, hi, of[a - start :], g[a - start :]
-            else:
-                yield lo, hi, *grams(texts[lo:hi])
-
-    def held(batches):
-        many, size = [], 0
-        for batch in batches:
-            many.append(batch)
-            size += batch.nbytes
-            if len(parts) == 1 or size >= HELD:
-                yield many
-                many, size = [], 0
-        if many:
-            yield many
-
-    def score(batches):
-        for many in held(batches):
-            texts = [t.encode() if t else b"" for batch in many for t in batch.column(len(carry)).to_pylist()]
-            total = np.zeros(len(texts))
-            for p, part in enumerate(parts):
-                model = part.value
-                for lo, hi, of, g in pieces(texts):
-                    if len(parts) > 1:
-                        mine = part_of(g, len(parts)) == p
-                        of, g = of[mine], g[mine]
-                    total[lo:hi] -= np.bincount(of, weights=log_probabilities(g, model), minlength=hi - lo)
-                if len(parts) > 1:
-                    del model
-                    part.__dict__.pop("_value", None)  # read again from the executor's disk
-            at = 0
-            for batch in many:
-                n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(total[at : at + n]), pa.array([len(t) for t in texts[at : at + n]], pa.int64())], names=[*carry, "_af_bits", "_af_n"])
-                at += n
-
-    return docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`")).mapInArrow(score, schema)
+    parts, shards = sharded(model)
+    groups = -(-max(size, 1) // (GROUP * shards))
+    counts = document_counts(docs, shards, groups)
+    cells = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda group: group * F.lit(shards) + F.col("shard"))
+    copies = parts.select(F.explode(cells).alias("cell"), "model")
+
+    def meet(model: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        lean_memory()
+        shard = Shard(*unpack(model["model"].iloc[0])) if len(model) else Shard(np.zeros(0, np.uint64), np.zeros(0, np.float32))
+        out = []
+        for blob in counts["blob"]:
+            keys, gram, docs_each, gap, n = unpack(blob)
+            log_p = np.repeat(shard.log_probabilities(np.cumsum(gram)), docs_each)
+            begin = np.cumsum(docs_each) - docs_each
+            doc = np.cumsum(gap, dtype=np.int64)
+            doc -= np.repeat(doc[begin] - gap[begin], docs_each)
+            some = np.bincount(doc, weights=n, minlength=len(keys))
+            bits = np.bincount(doc, weights=-log_p * n, minlength=len(keys))
+            at = np.flatnonzero(some)
+            out.append(pd.DataFrame({"key": keys[at], "bits": bits[at], "n": some[at].astype(np.int64)}))
+        return pd.concat(out) if out else pd.DataFrame({"key": [], "bits": [], "n": []})
+
+    met = copies.groupBy("cell").cogroup(counts.groupBy("cell")).applyInPandas(meet, "key bigint, bits double, n bigint")
+    return met.groupBy("key").agg(F.sum("bits").alias("bits"), F.sum("n").alias("n"))
 
 
 def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
@@ -224,36 +240,36 @@ def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id
 
     labels: (doc_id, quality, toxic); trusted are the documents of quality 1 that aren't
     toxic. The byte n-gram model is fitted on one in FOLDS of them, chosen by a hash of the
-    id, however many they are; its counts are read part by part. A document's perplexity is that of its
-    bytes and PRIOR bytes of average trusted text of its language. The threshold of a
-    language is the QUANTILE of the perplexities of its trusted documents that the model
-    wasn't fitted on; of a language without any (null, say), that of all.
-
-    Null and empty texts have the average perplexity and are kept. Without trusted documents
-    all are kept, with null thresholds. Repeated rows stay; labels count once. Columns with
-    the names of the results are replaced.
+    id, however many they are. The threshold of a language is the QUANTILE (to 1 in 10,000
+    of its rank) of the perplexities of its trusted documents that the model wasn't fitted
+    on; of a language without any (null, say), that of all. Documents above it aren't kept.
+
+    Null and empty texts have no perplexity and are kept. Without trusted documents all are
+    kept, with null thresholds. Repeated rows stay; labels count once. Texts meet the counts
+    by a 64-bit hash of id and text. Long texts are counted in slices. Columns with the names
+    of the results are replaced.
     """
     names = without(docs, "perplexity", "threshold", "kept").columns if carry is None else carry
     good = labels.groupBy(F.col("doc_id").alias("_af_good")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and coalesce(t, 0) = 0 and _af_good is not null").select("_af_good")
     good = written(good, "quality-trusted")
     chosen = lambda c: F.pmod(F.xxhash64(c, F.lit("fit")), F.lit(FOLDS)) == 0
-    trusted = docs.join(good.where(chosen("_af_good")), F.col(f"`{doc_id}`") == F.col("_af_good"), "left_semi")
-    model = parted(written(fit(trusted, text), "quality-table"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").alias("_af_id"), F.col(f"`{lang}`").alias("_af_lang"), F.col(f"`{text}`").alias("_af_text"))
-    own = written(scored(rows, "_af_text", model, [*names, "_af_id", "_af_lang"]), "quality-scores")
-    tested = own.select("_af_id", "_af_lang", "_af_bits", "_af_n").join(good.where(~chosen("_af_good")), F.col("_af_id") == F.col("_af_good")).where("_af_n > 0")
-    mean = F.sum("_af_bits") / F.sum("_af_n")
-    overall = tested.agg(mean).first()[0]
-    means = tested.groupBy(F.col("_af_lang").alias("_af_l")).agg(mean.alias("_af_mean"))
-    means = written(means, "quality-means")
-    entropy = (F.col("_af_bits") + PRIOR * F.coalesce("_af_mean", F.lit(overall), F.lit(0.0))) / (F.col("_af_n") + PRIOR)
-    near = lambda frame: frame.join(means, F.col("_af_lang").eqNullSafe(F.col("_af_l")), "left").withColumn("perplexity", F.exp(entropy)).drop("_af_l", "_af_mean")
+    raw, own_id = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
+    trusted = docs.join(good.where(chosen("_af_good")), own_id == F.col("_af_good"), "left_semi").select(raw.alias("text"))
+    model = written(fit(trusted, "text"), "quality-table")
+    key = row_key(own_id, raw)
+    some = docs.where(F.octet_length(raw) > 0).select(key.alias("key"), raw.alias("text"))
+    bits = written(scores(some, model, text_bytes(docs, text)), "quality-scores")
+    discard(model)
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], own_id.alias("_af_id"), F.col(f"`{lang}`").alias("_af_lang"), key.alias("_af_key"), F.coalesce(F.octet_length(raw), F.lit(0)).alias("_af_size"))
+    mean = bits.select(F.col("key").alias("_af_k"), F.exp(F.col("bits") / F.col("n")).alias("perplexity"))
+    found = rows.join(mean, (F.col("_af_key") == F.col("_af_k")) & (F.col("_af_size") > 0), "left").drop("_af_k", "_af_key", "_af_size")
+    own = written(found, "quality-rows")
     cut = F.percentile_approx("perplexity", QUANTILE, 10_000)
-    tested = near(tested)
+    tested = own.select("_af_id", "_af_lang", "perplexity").join(good.where(~chosen("_af_good")), F.col("_af_id") == F.col("_af_good"), "left_semi").where("perplexity is not null")
     whole = tested.agg(cut).first()[0]
     limits = written(tested.groupBy(F.col("_af_lang").alias("_af_l")).agg(cut.alias("_af_limit")), "quality-limits")
-    out = near(own).join(limits, F.col("_af_lang").eqNullSafe(F.col("_af_l")), "left").withColumn("threshold", F.coalesce("_af_limit", F.lit(whole).cast("double")))
-    kept = F.coalesce((F.col("_af_n") == 0) | (F.col("perplexity") <= F.col("threshold")), F.lit(True))
+    out = own.join(limits, F.col("_af_lang").eqNullSafe(F.col("_af_l")), "left").withColumn("threshold", F.coalesce("_af_limit", F.lit(whole).cast("double")))
+    kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select(*[F.col(f"`{c}`") for c in names], "perplexity", "threshold", kept.alias("kept"))
 
 
