@@ -7,11 +7,11 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from axisforge.llm.blobs import groups, in_chunks, joined, lean_memory, mix, pack, part_keys, part_of, repeated, runs, starts, steps, unpack, word_hashes
-from axisforge.llm.common import components, partitions, without, written
+from axisforge.llm.common import components, discard, partitions, row_key, text_bytes, without, written
 
 #: Words in a shingle, and the least similarity of near-duplicates.
 WORDS, SIMILAR = 5, 0.8
@@ -22,7 +22,12 @@ BITS = 56
 #: Members of one representative that are verified in one block.
 MEMBERS = 512
 #: Documents of the largest bucket of which those in different classes are compared in pairs, and of a block of larger ones.
+#: Both find the same links; blocks take less to move where many documents meet.
 CROWD, BLOCK = 64, 512
+#: Parts of a bucket, which learn its smallest document each for itself.
+SALTS = 64
+#: Bytes of text in a part, of whose shingles a task holds one at a time.
+PART = 32 << 20
 
 _RANDOM = np.random.default_rng(7)
 _SEEDS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -123,7 +128,7 @@ def weighted_sets(docs: DataFrame, doc_id: str, text: str, similar: float) -> Da
     occurrences and document frequencies; bands are the keys of the bands.
     """
     spark = docs.sparkSession
-    parts = max(1, partitions(spark))
+    parts = partitions(spark, text_bytes(docs, text), PART)
     to = np.array(part_keys(parts))
     total_docs = docs.count()
     bounds = np.array([-(-(b << BITS) // parts) for b in range(1, parts)], dtype=np.uint64)
@@ -190,7 +195,7 @@ def weighted_sets(docs: DataFrame, doc_id: str, text: str, similar: float) -> Da
         ids, distinct, sums = map(np.concatenate, zip(*totals, strict=True))
         order = np.lexsort((h, d))
         d, h, n, df = d[order], h[order], n[order], df[order]
-        # Rows that share an id are one document.
+        # Rows that share a key are one document.
         ids, at = np.unique(ids, return_inverse=True)
         distinct, sums = np.bincount(at, weights=distinct), np.bincount(at, weights=sums)
         weight = n * idf(df, total_docs)
@@ -261,22 +266,38 @@ def similarities(pairs: DataFrame, sets: DataFrame, total_docs: int) -> DataFram
     return left.groupBy("block_a").cogroup(right.groupBy("block_b")).applyInPandas(weigh, "a bigint, b bigint, similarity double")
 
 
+def crowd_sizes(placed: DataFrame) -> DataFrame:
+    """(crowd, main, all, most): the largest class of each crowd of (doc_id, crowd, class), and how many documents both have."""
+    sizes = placed.groupBy("crowd", "class").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("crowd").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+
+
+def leader_links(placed: DataFrame, sets: DataFrame, total_docs: int, similar: float) -> DataFrame:
+    """(a, b): links of one more document of each large crowd, the smallest outside of its largest class, with those of other classes."""
+    main = crowd_sizes(placed).where(F.col("all") - F.col("most") > BLOCK)
+    rows = placed.join(main.select("crowd", "main"), "crowd")
+    lead = rows.where(F.col("class") != F.col("main")).groupBy("crowd").agg(F.min_by(F.struct("doc_id", "class"), "doc_id").alias("lead"))
+    lead = lead.select("crowd", F.col("lead.doc_id").alias("a"), F.col("lead.class").alias("of")).join(sets.select(F.col("doc_id").alias("a"), F.col("bands").alias("bands_a")), "a")
+    pairs = rows.join(lead, "crowd").where(F.col("class") != F.col("of")).select("a", F.col("doc_id").alias("b"), "bands_a")
+    pairs = pairs.join(sets.select(F.col("doc_id").alias("b"), "bands"), "b").where(F.arrays_overlap("bands_a", "bands")).select("a", "b")
+    pairs = written(pairs, "near-leaders")
+    return similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b")
+
+
 def block_links(docs: DataFrame, sets: DataFrame, total_docs: int, similar: float) -> DataFrame:
-    """(a, b): links between documents of different classes in each crowd; docs: (doc_id, crowd, class).
+    """(a, b): links between documents of different classes in each crowd that share a band; docs: (doc_id, crowd, class).
 
     Of a crowd's documents, those that aren't in its largest class are compared with all
     others, in blocks of BLOCK by BLOCK documents: the intersections of a block are products
     of matrices. For each document and class of the others one link is given.
     """
-    sizes = docs.groupBy("crowd", "class").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("crowd").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    placed = docs.join(main, "crowd").withColumn("out", F.col("class") != F.col("main"))
+    placed = docs.join(crowd_sizes(docs), "crowd").withColumn("out", F.col("class") != F.col("main"))
     blocks = lambda n: F.greatest(F.ceil(n / F.lit(BLOCK)), F.lit(1)).cast("int")
-    placed = placed.withColumn("outs", blocks(F.col("all") - F.col("most"))).withColumn("blocks", blocks(F.col("all")))
+    placed = placed.withColumn("outs", blocks(F.col("all") - F.col("most"))).withColumn("blocks", blocks(F.col("all"))).where(F.col("all") > F.col("most"))
     slot = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    placed = placed.join(sets.select("doc_id", "total", "shared"), "doc_id")
-    cols = ["class", "doc_id", "total", "shared"]
+    placed = placed.join(sets.select("doc_id", "total", "shared", "bands"), "doc_id")
+    cols = ["class", "doc_id", "total", "shared", "bands"]
     left = placed.where("out").select(F.col("crowd").alias("c1"), slot(F.col("outs")).alias("o1"), every(F.col("blocks")).alias("b1"), *[F.col(c).alias(f"{c}_1") for c in cols])
     right = placed.select(F.col("crowd").alias("c2"), every(F.col("outs")).alias("o2"), slot(F.col("blocks")).alias("b2"), *[F.col(c).alias(f"{c}_2") for c in cols])
 
@@ -289,6 +310,12 @@ def block_links(docs: DataFrame, sets: DataFrame, total_docs: int, similar: floa
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
+            k1, k2, i1, i2 = (f[c].to_numpy() for f, c in ((left, "class_1"), (right, "class_2"), (left, "doc_id_1"), (right, "doc_id_2")))
+            bands = [np.array(f[c].tolist(), dtype=np.int64).reshape(len(f), -1) for f, c in ((left, "bands_1"), (right, "bands_2"))]
+            met = np.zeros((len(left), len(right)), dtype=bool)
+            for b in range(BANDS):
+                met |= bands[0][:, b, None] == bands[1][None, :, b]
+            met &= k1[:, None] != k2[None, :]
             r1, h1, n1, _ = side(left["shared_1"])
             r2, h2, n2, df = side(right["shared_2"])
             words, first = np.unique(h2, return_index=True)
@@ -298,7 +325,7 @@ def block_links(docs: DataFrame, sets: DataFrame, total_docs: int, similar: floa
             ok1, ok2 = (np.minimum(c, max(len(words) - 1, 0)) for c in (c1, c2))
             ok1, ok2 = (words[ok1] == h1, words[ok2] == h2) if len(words) else (np.zeros(len(h1), bool), np.zeros(len(h2), bool))
             both = np.zeros((len(left), len(right)))
-            for lo in range(0, len(words), 4096):
+            for lo in range(0, len(words) if met.any() else 0, 4096):
                 hi = min(lo + 4096, len(words))
                 m1, m2 = (ok1 & (c1 >= lo) & (c1 < hi)), (ok2 & (c2 >= lo) & (c2 < hi))
                 a, b = np.zeros((len(left), hi - lo)), np.zeros((len(right), hi - lo))
@@ -313,8 +340,7 @@ def block_links(docs: DataFrame, sets: DataFrame, total_docs: int, similar: floa
                         both += np.einsum("iw,jw->ij", (a[:, use] >= top) * weight[lo + use], np.where(between, part - level, 0.0))
                     level = top
             sim = both / (left["total_1"].to_numpy()[:, None] + right["total_2"].to_numpy()[None, :] - both)
-            k1, k2, i1, i2 = (f[c].to_numpy() for f, c in ((left, "class_1"), (right, "class_2"), (left, "doc_id_1"), (right, "doc_id_2")))
-            i, j = np.nonzero((sim >= similar) & (k1[:, None] != k2[None, :]))
+            i, j = np.nonzero((sim >= similar) & met)
             _, one = np.unique(np.stack([i, k2[j]]), axis=1, return_index=True)
             out = list(zip(i1[i[one]].tolist(), i2[j[one]].tolist(), strict=True))
         return pd.DataFrame(out, columns=["a", "b"])
@@ -322,27 +348,46 @@ def block_links(docs: DataFrame, sets: DataFrame, total_docs: int, similar: floa
     return left.groupBy("c1", "o1", "b1").cogroup(right.groupBy("c2", "o2", "b2")).applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(doc_id, class_id): every document in a class with others, class_id being the smallest id in it.
+def _with_class(frame: DataFrame, classes: DataFrame, key: str, name: str) -> DataFrame:
+    """frame with `name`, the class of its column key: itself for what has none."""
+    of = classes.select(F.col("node").alias("_n"), F.col("component").alias(name))
+    return frame.join(of, F.col(key) == F.col("_n"), "left").withColumn(name, F.coalesce(name, key)).drop("_n")
+
+
+def _joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """classes after more links: only the classes that these join are contracted."""
+    ends = _with_class(_with_class(links, classes, "a", "ca"), classes, "b", "cb")
+    up = written(components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "near-up")
+    moved = classes.join(up.select(F.col("node").alias("_c"), F.col("component").alias("_to")), F.col("component") == F.col("_c"), "left")
+    return written(moved.select("node", F.coalesce("_to", "component").alias("component")).unionByName(up).distinct(), "near-classes")
+
+
+def near_classes(docs: DataFrame, key: str, text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(node, component): every row (a long key) in a class with others, component being the smallest key in it.
 
     Classes are the connected components of the pairs with a weighted Jaccard similarity of
     TF-IDF shingles of `similar` or more that share a band. In each band's bucket all are
-    compared with the one of the smallest id. What this leaves in different classes is
-    compared with each other: in buckets of up to CROWD documents in pairs, as far as the
-    triangle inequality of the Jaccard distance allows a link; in larger ones, which often
-    hold the same documents, once for all of them, in blocks.
+    compared with the one of the smallest key, which parts of the bucket learn apart. What
+    this leaves in different classes of one bucket is compared with each other: in buckets of
+    up to CROWD documents in pairs, as far as the triangle inequality of the Jaccard distance
+    allows a link; larger ones, which often hold the same documents, once for all of them.
+    There, further documents are compared with all while that joins classes, and what is
+    left outside of the largest class in blocks. Each way finds all links.
     """
     total_docs = docs.count()
-    sets = written(weighted_sets(docs, doc_id, text, similar), "near-sets")
-    banded = sets.select("doc_id", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = written(banded.join(heads, "band").where("doc_id <> a"), "near-buckets")
+    sets = written(weighted_sets(docs, key, text, similar), "near-sets")
+    salted = sets.select("doc_id", F.explode("bands").alias("band"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    local = salted.groupBy("band", "salt").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("members"))
+    heads = local.groupBy("band").agg(F.min("a").alias("a"), F.sum("members").alias("members")).where("members > 1")
+    spots = written(local.select("band", "salt").join(heads, "band"), "near-heads")
+    buckets = written(salted.join(spots, ["band", "salt"]).where("doc_id <> a").drop("salt"), "near-buckets")
+    discard(spots)
     first = written(similarities(buckets.select("a", F.col("doc_id").alias("b")).distinct(), sets, total_docs), "near-first")
     classes = written(components(first.where(F.col("similarity") >= similar).select("a", "b")), "near-classes")
-    own = lambda frame, key, name: frame.join(classes.select(F.col("node").alias("_n"), F.col("component").alias(name)), F.col(key) == F.col("_n"), "left").withColumn(name, F.coalesce(name, key)).drop("_n")
-    placed = own(own(buckets, "doc_id", "class"), "a", "head").withColumn("inside", F.col("class") == F.col("head"))
+    placed = _with_class(_with_class(buckets, classes, "doc_id", "class"), classes, "a", "head").withColumn("inside", F.col("class") == F.col("head"))
     mixed = placed.groupBy("band").agg(F.count_if(~F.col("inside")).alias("outside")).where("outside > 0").select("band")
     rest = written(placed.join(mixed, "band"), "near-rest")
+    discard(buckets)
 
     few = rest.where((F.col("members") <= CROWD) & (F.col("members") > 2)).join(first.select("a", F.col("b").alias("doc_id"), "similarity"), ["a", "doc_id"])
     x = few.where(~F.col("inside")).select("band", F.col("doc_id").alias("x"), F.col("class").alias("cx"), F.col("similarity").alias("sx"))
@@ -350,40 +395,70 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     near = F.abs(F.col("sx") - F.col("sy")) <= 1 - similar + 1e-9
     met = x.join(y, "band").where((F.col("cx") != F.col("cy")) & (F.col("iy") | (F.col("x") < F.col("y"))) & near)
     pairs = written(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-pairs")
-    more = similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b")
+    more = written(similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b"), "near-more")
+    if not more.isEmpty():
+        classes = _joined_classes(classes, more)
 
     many = rest.where(F.col("members") > CROWD)
-    crowds = components(many.select(F.col("a"), F.col("doc_id").alias("b")).distinct())
-    ends = own(crowds.select(F.col("node").alias("doc_id"), F.col("component").alias("crowd")), "doc_id", "class")
-    more = written(more.unionByName(block_links(written(ends, "near-crowds"), sets, total_docs, similar)), "near-more")
-    if not more.isEmpty():
-        # Only the classes that the new links join are contracted.
-        up = written(components(own(own(more, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "near-up")
-        moved = classes.join(up.select(F.col("node").alias("_c"), F.col("component").alias("_to")), F.col("component") == F.col("_c"), "left")
-        classes = moved.select("node", F.coalesce("_to", "component").alias("component")).unionByName(up).distinct()
-    return classes.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
+    crowds = written(components(many.select(F.col("a"), F.col("doc_id").alias("b")).distinct()), "near-crowds")
+    crowds = crowds.select(F.col("node").alias("doc_id"), F.col("component").alias("crowd"))
+    while not crowds.isEmpty():
+        ends = written(_with_class(crowds, classes, "doc_id", "class"), "near-ends")
+        large = crowd_sizes(ends).where(F.col("all") - F.col("most") > BLOCK)
+        links = written(leader_links(ends, sets, total_docs, similar), "near-more") if not large.isEmpty() else None
+        # A leader that joins few shows that its crowd is no cluster: blocks do the rest.
+        if links is None or links.count() < BLOCK:
+            more = block_links(ends, sets, total_docs, similar)
+            links = written(more if links is None else more.unionByName(links), "near-more")
+            return classes if links.isEmpty() else _joined_classes(classes, links)
+        classes = _joined_classes(classes, links)
+    return classes
+
+
+def _keys(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, bool]:
+    """What tells the rows apart as a long, and whether that is the id: a hash of id and text where ids are missing or shared."""
+    own = F.col(f"`{doc_id}`").cast("long")
+    some = docs.select(own.alias("i")).groupBy("i").count().where("count > 1 or i is null")
+    return (own, True) if some.isEmpty() else (row_key(own, F.col(f"`{text}`")), False)
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, similar: float = SIMILAR) -> DataFrame:
     """The columns `carry` (by default all) with class_id and kept: of each class the document with the smallest id stays.
 
     Texts without words (null and empty ones too) have no near-duplicates. Rows that share
-    an id are one document in the search, and each is returned; a row without an id is kept
-    and has the class null. Empty tables give empty results; columns named class_id or kept
-    are replaced.
+    an id are told apart by their texts, and a row without an id takes part: of a class, one
+    with an id comes first, and class_id is null if there is none. Rows that are equal in both
+    share their fate. Empty tables give empty results; columns named class_id or kept are
+    replaced.
     """
     names = without(docs, "class_id", "kept").columns if carry is None else carry
-    classes = near_classes(docs, doc_id, text, similar).withColumnRenamed("doc_id", "_af_id")
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").cast("long").alias("_af_own"))
-    out = rows.join(classes, F.col("_af_own") == F.col("_af_id"), "left")
-    own = F.coalesce("class_id", "_af_own")
-    return out.select(*[F.col(f"`{c}`") for c in names], own.alias("class_id"), (own.isNull() | (own == F.col("_af_own"))).alias("kept"))
-
-
-def near_filter(docs: DataFrame) -> DataFrame:
-    """docs less the near-duplicates of documents with smaller ids; columns as they were. Only the ids to drop meet the texts."""
-    drop = written(near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_af_drop")), "near-drop")
-    return docs.join(drop, F.col("doc_id") == F.col("_af_drop"), "left_anti")
+    key, is_id = _keys(docs, doc_id, text)
+    search = docs.select(key.alias("key"), F.col(f"`{text}`").alias("text"))
+    classes = near_classes(search if is_id else search.dropDuplicates(["key"]), "key", "text", similar)
+    classes = classes.select(F.col("node").alias("_af_node"), F.col("component").alias("_af_class"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").cast("long").alias("_af_id"), key.alias("_af_key"))
+    out = rows.join(classes, F.col("_af_key") == F.col("_af_node"), "left").withColumn("_af_class", F.coalesce("_af_class", "_af_key")).drop("_af_node")
+    cols = [F.col(f"`{c}`") for c in names]
+    if is_id:
+        return out.select(*cols, F.col("_af_class").alias("class_id"), (F.col("_af_class") == F.col("_af_key")).alias("kept"))
+    out = written(out, "near-rows")
+    order = F.struct(F.col("_af_id").isNull(), F.col("_af_id"), F.col("_af_key"))
+    first = out.groupBy(F.col("_af_class").alias("_af_c")).agg(F.min_by(F.struct(F.col("_af_id").alias("i"), F.col("_af_key").alias("k")), order).alias("_af_first"))
+    out = out.join(first, F.col("_af_class") == F.col("_af_c"))
+    return out.select(*cols, F.col("_af_first.i").alias("class_id"), (F.col("_af_first.k") == F.col("_af_key")).alias("kept"))
+
+
+def near_filter(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs less the near-duplicates of documents with smaller ids; columns as they were, and cases as in near_dedup.
+
+    Only what is to go meets the texts.
+    """
+    key, is_id = _keys(docs, doc_id, text)
+    if is_id:
+        drop = near_classes(docs.select(key.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text").where("node <> component").select(F.col("node").alias("_af_drop"))
+    else:
+        drop = near_dedup(docs.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("t"), key.alias("_af_drop")), "i", "t", ["_af_drop"]).where("not kept").select("_af_drop").distinct()
+    return docs.join(written(drop, "near-drop"), key == F.col("_af_drop"), "left_anti")
 
 
 def op10_icws_near_dedup(spark, sf_dir):

@@ -486,10 +486,10 @@ def test_kneser_ney_is_a_distribution_and_equals_the_formula(spark):
     common.ship(spark)
     texts = [prose(random.Random(i), 12) for i in range(30)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    model = quality.shards(quality.fit(df, "text").toPandas())
+    model = quality.Shard.of(quality.fit(df, "text").toPandas())
     for h in (b"than", b"zzzz", b"\0\0\0\0", b"ther"):
         g = np.array([int.from_bytes(h + bytes([w]), "big") for w in range(256)], dtype=np.uint64)
-        assert np.exp(quality.log_probabilities(g, model)).sum() == pytest.approx(1, abs=1e-5)
+        assert np.exp(model.log_probabilities(g)).sum() == pytest.approx(1, abs=1e-5)
     counts = [None, *(Counter() for _ in range(5))]
     for t in texts:
         data = b"\0\0\0\0" + t.encode()
@@ -516,7 +516,7 @@ def test_kneser_ney_is_a_distribution_and_equals_the_formula(spark):
 
     g = random.Random(1)
     for gram in g.sample(sorted(counts[5]), 40) + [b"thxzz", b"zzzzz", b"\0\0\0\0t", b"t the"]:
-        got = quality.log_probabilities(np.array([int.from_bytes(gram, "big")], dtype=np.uint64), model)[0]
+        got = model.log_probabilities(np.array([int.from_bytes(gram, "big")], dtype=np.uint64))[0]
         assert got == pytest.approx(math.log(p(gram)), rel=1e-4)
 
 
@@ -527,16 +527,46 @@ def test_quality_tells_held_out_junk_from_prose(spark):
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.3
 
 
-def test_quality_counts_all_trusted_documents_in_bounded_parts(spark, monkeypatch):
+def test_perplexity_quantiles_and_verdicts_equal_brute_force(spark, monkeypatch):
+    common.ship(spark)
     docs, labels = (common.table(spark, SF, t) for t in ("documents", "labels"))
-    whole = {r.doc_id: r.perplexity for r in quality.kneser_ney_quality(docs, labels, carry=["doc_id"]).collect()}
-    monkeypatch.setattr(quality, "PART_ROWS", 20_000)
-    monkeypatch.setattr(quality, "HELD", 100_000)
-    parts, made = [], quality.parted
-    monkeypatch.setattr(quality, "parted", lambda model: parts.append(made(model)) or parts[-1])
-    out = {r.doc_id: r.perplexity for r in quality.kneser_ney_quality(docs, labels, carry=["doc_id"]).collect()}
-    assert len(parts[0]) > 1 and out.keys() == whole.keys() and all(out[i] == pytest.approx(whole[i], rel=1e-6) for i in out)
-    # The counts grow with the trusted documents.
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()] + [(-1, None, "en"), (-2, "", "de"), (-3, "zz", None), (-4, prose(random.Random(1), 9000), "xx"), (3, docs.where("doc_id = 3").first().text, "en")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5).withColumn("threshold", F.lit("clash"))
+    for name, value in (("RUN", 20_000), ("GROUP", 2_000), ("SHARD_ROWS", 2_000)):  # many runs, groups and shards
+        monkeypatch.setattr(quality, name, value)
+    out = quality.kneser_ney_quality(df, labels, carry=["doc_id", "lang"]).collect()
+    assert len(out) == len(rows)
+    good = {r.doc_id for r in labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").collect()}
+    fold = {r.doc_id for r in df.select("doc_id").distinct().where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(quality.FOLDS)) == 0).collect()}
+    # Counts in a dictionary, byte by byte.
+    trusted = [t.encode() for i, t, _ in rows if t and i in good & fold]
+    model = quality.Shard.of(quality.fit(spark.createDataFrame([(t.decode(),) for t in trusted], "text string"), "text").toPandas())
+    known = {}
+
+    def perplexity(text):
+        data, bits = b"\0\0\0\0" + text.encode(), 0.0
+        for i in range(len(data) - 4):
+            gram = data[i : i + 5]
+            if gram not in known:
+                known[gram] = float(model.log_probabilities(np.array([int.from_bytes(gram, "big")], dtype=np.uint64))[0])
+            bits -= known[gram]
+        return math.exp(bits / (len(data) - 4))
+
+    want = {(i, lang): perplexity(t) if t else None for i, t, lang in rows}
+    tested = defaultdict(list)
+    for i, t, lang in rows:
+        if t and i in good - fold:
+            tested[lang].append(want[i, lang])
+            tested["all"].append(want[i, lang])
+    limit = {k: sorted(v)[math.ceil(quality.QUANTILE * len(v)) - 1] for k, v in tested.items()}
+    assert len(limit) > 2
+    for r in out:
+        p, most = want[r.doc_id, r.lang], limit.get(r.lang, limit["all"])
+        assert (r.perplexity is None) == (p is None) and (p is None or r.perplexity == pytest.approx(p, rel=1e-5)) and r.threshold == pytest.approx(most, rel=1e-5)
+        assert r.kept == (p is None or r.perplexity <= r.threshold)
+
+
+def test_quality_counts_grow_with_the_trusted_documents(spark, monkeypatch):
     many = spark.range(50_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "1 AS quality", "0 AS toxic")
     counted, fit = [], quality.fit
     monkeypatch.setattr(quality, "fit", lambda trusted, text: counted.append(trusted.count()) or fit(trusted, text))
@@ -613,7 +643,14 @@ def test_near_dedup_of_edge_cases(spark, docs, none):
     assert near.near_dedup(none).collect() == []
     assert near.near_dedup(docs).count() == docs.count()
     df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f")], "doc_id bigint, text string")
-    assert sorted((r.class_id or 0, r.kept) for r in near.near_dedup(df).collect()) == [(0, True), (1, False), (1, True)]
+    assert sorted((r.doc_id or 0, r.class_id, r.kept) for r in near.near_dedup(df).collect()) == [(0, 1, False), (1, 1, True), (2, 1, False)]
+    # Rows without an id, or with another's, are told apart by their texts; equal rows share their fate.
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    rows = [(None, long), (None, long + " x"), (7, long + " y"), (7, "quite another text of seven words"), (7, "quite another text of seven words"), (9, long + " y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = sorted(((r.doc_id or 0, r.text, r.class_id, r.kept) for r in near.near_dedup(df).collect()), key=str)
+    assert out == sorted([(0, long, 7, False), (0, long + " x", 7, False), (7, long + " y", 7, True), *[(7, rows[3][1], 7, True)] * 2, (9, long + " y", 7, False)], key=str)
+    assert sorted((r.doc_id, r.text) for r in near.near_filter(df).collect()) == sorted([rows[2], rows[3], rows[4]])
 
 
 def test_samples_collide_with_the_chance_of_the_weighted_similarity():
@@ -647,3 +684,20 @@ def test_crowds_are_compared_in_blocks(spark, monkeypatch):
     out = {r.doc_id: r.class_id for r in near.near_dedup(df).collect()}
     want = near_truth(rows)
     assert sum(out[i] != want[i] for i in out) <= 1  # a pair at the edge may share no band
+    # The size of a bucket changes how its documents are compared, not what is found.
+    for crowd, block in ((63, 40), (1000, 512)):
+        monkeypatch.setattr(near, "CROWD", crowd)
+        monkeypatch.setattr(near, "BLOCK", block)
+        assert {r.doc_id: r.class_id for r in near.near_dedup(df).collect()} == out
+
+
+def test_a_first_document_apart_from_a_crowd_does_not_split_it(spark, monkeypatch):
+    common.ship(spark)
+    monkeypatch.setattr(near, "BLOCK", 50)
+    g = random.Random(17)
+    base = prose(g, 150)
+    # The smallest id is too far from all others, which are near each other; and many exact copies.
+    rows = [(0, edited(g, base, 7))] + [(i, edited(g, base, g.choice([0, 1, 1, 1]))) for i in range(1, 200)]
+    rows += [(1000 + i, rows[3][1]) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert {r.doc_id: r.class_id for r in near.near_dedup(df).collect()} == near_truth(rows)
