@@ -16,7 +16,8 @@ HEAD = 24
 
 
 def normalised(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    """Each run of white space as one space; single spaces, which are most of them, needn't be replaced."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
 def _ranges(rows: DataFrame, doc_id: Column, text: Column) -> tuple[DataFrame, Column]:
@@ -26,13 +27,17 @@ def _ranges(rows: DataFrame, doc_id: Column, text: Column) -> tuple[DataFrame, C
     in which equal texts are neighbours. Only texts at a splitter lie in several ranges.
     """
     ranges = RANGES * partitions(rows.sparkSession)
-    norm = normalised(text)
-    rows = rows.withColumn("text_sha256", F.sha2(norm, 256)).withColumn("_af_id", doc_id)
-    text_key = F.concat_ws(".", F.hex(F.substring(norm, 1, HEAD).cast("binary")), "text_sha256")
-    id_key = F.coalesce(F.lpad(F.hex(F.xxhash64("_af_id")), 16, "0"), F.lit("~"))
-    rows = rows.withColumn("_af_key", text_key).withColumn("_af_at", F.concat_ws(".", "_af_key", id_key))
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        norm = normalised(text)
+        rows = rows.withColumn("text_sha256", F.sha2(norm, 256)).withColumn("_af_id", doc_id)
+        text_key = F.concat_ws(".", F.hex(F.substring(norm, 1, HEAD).cast("binary")), "text_sha256")
+        id_key = F.coalesce(F.lpad(F.hex(F.xxhash64("_af_id")), 16, "0"), F.lit("~"))
+        return rows.withColumn("_af_key", text_key).withColumn("_af_at", F.concat_ws(".", "_af_key", id_key))
+
     share = SAMPLED * ranges / max(1, rows.count())
-    keys = sorted((rows.sample(share, seed=7) if share < 1 else rows).select("_af_at", "_af_key").collect())  # about SAMPLED * ranges
+    keys = sorted(keyed(rows.sample(share, seed=7) if share < 1 else rows).select("_af_at", "_af_key").collect())  # about SAMPLED * ranges
+    rows = keyed(rows)
     splitters = sorted({tuple(keys[i * len(keys) // ranges]) for i in range(1, ranges)}) if keys else []
     # One constant for the plan, in sorted order; keys have no commas.
     at = F.split(F.lit(",".join(k for k, _ in splitters)), ",")
@@ -102,8 +107,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     first = F.struct(F.col("_af_id").isNull(), F.col("_af_id"), F.xxhash64(*own.columns))
     rows = rows.withColumn("_af_first", first)
     # A text at a splitter keeps the row of the range that has its smallest id: a row for each splitter at most.
-    homes = rows.where(edge).groupBy(F.col("_af_key").alias("_af_k")).agg(F.min_by("_af_range", F.struct("_af_first", "_af_range")).alias("_af_home"))
-    homes = written(homes, "content-homes")
+    homes = rows.where(edge).groupBy("_af_key").agg(F.min_by("_af_range", F.struct("_af_first", "_af_range"))).collect()
+    homes = docs.sparkSession.createDataFrame([tuple(r) for r in homes], "_af_k string, _af_home int")
     sorted_ = rows.select(*own.columns, "_af_first", "_af_key", "_af_range").repartition("_af_range")
     kept = sorted_.groupBy("_af_range", normalised(text).alias("_af_text")).agg(F.min_by(F.struct(*own.columns, "_af_key"), "_af_first").alias("_af_row"))
     kept = kept.select("_af_range", "_af_row.*").join(F.broadcast(homes), F.col("_af_key") == F.col("_af_k"), "left")
