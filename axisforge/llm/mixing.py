@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from axisforge.llm.common import table, without, written
+from axisforge.llm.common import global_rank, table, without, written
 
 #: One word: a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,13 +43,15 @@ def water_fill_mix(docs: DataFrame, weights: DataFrame, share: float, epochs: fl
     none is above `epochs` times its source's size, and the excess is shared by weight. Of a
     target of e sizes, each document is taken floor(e) times whole, and further documents
     once more (extra), in the order of md5(seed:key), up to the number of words that lies
-    nearest to the rest. taken = (whole + extra) * size.
+    nearest to the rest. taken = (whole + extra) * size. A document of size 0 adds nothing to
+    any target and is taken once, or never if its source's target is 0.
 
     A source's sums are partial aggregates by bins of the hash; only the one bin in which
     the rest ends is sorted, so that a source may hold any share of the rows. Documents meet
     a plan of one row for each source. Null sources
     are a source of their own; one without a weight gets the target 0. Null sizes count as
-    0. Equal rows tie; columns with the names of the results are replaced.
+    0. Rows of one hash go by size and then by a hash of all columns, so that reruns agree;
+    columns with the names of the results are replaced.
     """
     added = ["size", "source_size", "target", "whole", "extra", "taken"]
     names = [c for c in without(docs, *added).columns]
@@ -82,10 +84,12 @@ def water_fill_mix(docs: DataFrame, weights: DataFrame, share: float, epochs: fl
     got = base.join(plan, F.col(f"`{source}`").eqNullSafe(F.col("_af_s")))
     in_cut = F.coalesce(F.col("_af_bin") == F.col("_af_cut"), F.lit(False))
     sure = got.where(~in_cut).withColumn("extra", F.coalesce((F.col("_af_bin") <= F.col("_af_last")).cast("long"), F.lit(0)))
-    upto = Window.partitionBy("_af_s").orderBy("_af_turn", "size").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("_af_s").orderBy("_af_turn", "size", F.xxhash64(*cols)).rowsBetween(Window.unboundedPreceding, 0)
     cut = got.where(in_cut).withColumn("_af_upto", F.col("_af_from") + F.sum("size").over(upto))
     cut = cut.withColumn("extra", (F.col("_af_upto") - F.col("size") / 2.0 <= F.col("_af_rest")).cast("long")).drop("_af_upto")
     out = sure.unionByName(cut)
+    none = F.col("size") == 0
+    out = out.withColumn("extra", F.when(none, 0).otherwise(F.col("extra"))).withColumn("whole", F.when(none, (F.col("target") > 0).cast("long")).otherwise(F.col("whole")))
     return out.select(*cols, "size", "source_size", "target", "whole", "extra", ((F.col("whole") + F.col("extra")) * F.col("size")).alias("taken"))
 
 
@@ -96,9 +100,9 @@ def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
 
 def cyclic_weights(docs: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     """(source, weight): sources by code point, null last, get the weights in turn. One row a source, not a document."""
-    sources = docs.select("source").distinct()
-    nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    return sources.select("source", F.element_at(F.array(*map(F.lit, weights)), F.pmod(nth, F.lit(len(weights))) + 1).alias("weight"))
+    ranked = global_rank(docs.select("source").distinct(), [F.col("source").asc_nulls_last()], "_af_nth")
+    nth = F.pmod("_af_nth", F.lit(len(weights))).cast("int") + 1
+    return ranked.select("source", F.element_at(F.array(*map(F.lit, weights)), nth).alias("weight"))
 
 
 def op3_water_fill_mix(spark, sf_dir):
