@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from axisforge.llm.common import table, without, written
+from axisforge.llm.common import discard, table, without, written
 
 #: Centroids for each half, so CENTROIDS**2 cells.
-CENTROIDS = 64
+CENTROIDS = 128
 #: The codebooks are fitted on this many vectors at most; every vector is indexed.
 FIT = 20_000
-#: Cells are traversed until they hold this share of the vectors, and LEAST vectors.
-PROBED, LEAST = 0.5, 1000
+#: Cells are traversed until they hold as large a share of the vectors as gives RECALL among the fitted vectors, for TRIED of them as queries.
+RECALL, TRIED = 0.93, 256
+#: Cells hold LEAST vectors at least.
+LEAST = 1000
 #: Entries and queries that meet in one task.
 BLOCK = 8192
 
@@ -61,6 +64,23 @@ def traverse(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: i
     return cells
 
 
+def enough_for_recall(x: np.ndarray, books, codes, k: int) -> float:
+    """The share of the vectors that traversals have to reach for the k nearest of a query to be among them with the chance RECALL.
+
+    Measured on the vectors x themselves, TRIED of them as queries. Of more vectors the nearest
+    are nearer, and so reached sooner.
+    """
+    half = books[0].shape[1]
+    ranks = []
+    for q in np.linspace(0, len(x) - 1, min(TRIED, len(x))).astype(np.int64):
+        near = x @ x[q]
+        near[q] = -np.inf
+        top_ = np.argpartition(near, max(0, len(x) - 1 - k))[-min(k, len(x) - 1) :]
+        reach = (books[0] @ x[q, :half])[codes[0]] + (books[1] @ x[q, half:])[codes[1]]
+        ranks.append(len(x) - np.searchsorted(np.sort(reach), reach[top_], side="left"))
+    return float(np.quantile(np.concatenate(ranks), RECALL)) / len(x)
+
+
 def pack_cells(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
     """cell -> (first block, blocks): cells in order fill blocks of BLOCK entries; a larger cell has blocks of its own."""
     out, block, room = {}, -1, 0
@@ -89,7 +109,7 @@ def top(query_id: int, query: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
 
 
 def valid_vectors(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id, v): the vectors that take part, as doubles, all of the most common length."""
+    """(vec_id, v, n): the vectors that take part, as doubles, and their lengths."""
     v = F.col("v")
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = rows.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
@@ -103,40 +123,56 @@ def inverted_multi_index(vectors: DataFrame, k: int = 20, vec_id: str = "vec_id"
     Nearness is the inner product in double precision. Each half of a vector has a codebook;
     a cell is a pair of centroids. For a query, cells are traversed by the summed products
     of the halves with their centroids (negated, as a distance), the best pair first, until
-    they hold PROBED of the entries and LEAST at least; all of their entries are reranked
-    by exact products. Ties go to the smaller vec_id; a query with fewer candidates gets
-    them all.
+    they hold the share of the entries that RECALL takes, and LEAST at least; all of their
+    entries are reranked by exact products. Ties go to the smaller vec_id; a query with fewer
+    candidates gets them all.
 
     Entries lie in blocks of whole cells, and a cell of many entries (equal vectors, say) is
     cut into several blocks, so that no task holds more than BLOCK entries and BLOCK queries.
+    Queries crowd by their best cells, and a block goes only to the crowds that look into it.
 
-    Vectors that are null, empty or zero, hold null or non-finite components, or have
-    another length than most, and rows without an id take no part. A row that shares the
-    query's id counts as the query; repeated queries are answered once. Empty tables give
-    empty results; further columns are ignored.
+    Vectors that are null, empty or zero, or hold null or non-finite components, and rows
+    without an id take no part. Products are only between vectors of one length: each length
+    has an index of its own. A row that shares the query's id counts as the query; rows that
+    share an id but not a vector are all candidates, and the query is the least of their
+    vectors. Empty tables give empty results; further columns are ignored.
     """
     schema = "query_id bigint, rank int, vec_id bigint, score double"
-    spark = vectors.sparkSession
     rows = valid_vectors(without(vectors), vec_id, vector)
-    lengths = rows.groupBy("n").count().orderBy(F.desc("count"), "n").first()
-    if lengths is None:
-        return spark.createDataFrame([], schema)
-    dim, total = lengths
-    rows = rows.where(F.col("n") == dim)
+    lengths = rows.groupBy("n").count().orderBy("n").collect()  # a row for each length of a vector
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], schema)
+    found = [_search(rows.where(F.col("n") == dim).drop("n"), dim, total, k, every) for dim, total in lengths]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    if len(found) > 1:  # rows that share an id may have vectors of several lengths: the query is the shortest
+        first = Window.partitionBy("query_id")
+        out = out.withColumn("_af_least", F.min("n").over(first)).where("n = _af_least")
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
+def _search(rows: DataFrame, dim: int, total: int, k: int, every: int) -> DataFrame:
+    """(query_id, rank, vec_id, score, n) among the `total` rows (vec_id, v), all of length dim."""
     one_in = -(-total // FIT)
     sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(one_in)) == 0).orderBy("vec_id").limit(FIT).select("v").toPandas()
     if not len(sample):
-        sample = rows.limit(FIT).select("v").toPandas()
+        sample = rows.orderBy("vec_id").limit(FIT).select("v").toPandas()
     fit = np.array(sample["v"].tolist(), dtype=np.float64)
     half = max(1, dim // 2)
     books = fit_codebook(fit[:, :half], CENTROIDS), fit_codebook(fit[:, half:], CENTROIDS) if dim > 1 else np.zeros((1, 0))
     na, nb = len(books[0]), len(books[1])
 
+    def codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _nearest(x[:, :half], books[0]), _nearest(x[:, half:], books[1]) if dim > 1 else np.zeros(len(x), dtype=np.int64)
+
+    share = enough_for_recall(fit, books, codes(fit), k)
+
     def assign(batches):
         for b in batches:
             x = np.array(b["v"].tolist(), dtype=np.float64).reshape(len(b), -1)
-            cell = _nearest(x[:, :half], books[0]) * nb + (_nearest(x[:, half:], books[1]) if dim > 1 else 0)
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": [r.tobytes() for r in x], "cell": cell.astype(np.int32)})
+            first, second = codes(x)
+            yield pd.DataFrame({"vec_id": b["vec_id"], "v": [r.tobytes() for r in x], "cell": (first * nb + second).astype(np.int32)})
 
     index = written(rows.mapInPandas(assign, "vec_id bigint, v binary, cell int"), "ann-index")
     counts = {r[0]: r[1] for r in index.groupBy("cell").count().collect()}  # a row for each cell: CENTROIDS**2 at most
@@ -144,26 +180,34 @@ def inverted_multi_index(vectors: DataFrame, k: int = 20, vec_id: str = "vec_id"
     for c, n in counts.items():
         sizes[divmod(c, nb)] = n
     place = pack_cells(counts)
-    enough = max(int(np.ceil(PROBED * total)), LEAST, k + 1)
-    queries = index.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
-    crowds = -(-queries.count() // BLOCK)
+    enough = max(math.ceil(share * total), LEAST, k + 1)
+    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    crowds = max(1, -(-queries.count() // BLOCK))
 
     def route(batches):
         for b in batches:
             out = []
-            for q, raw in zip(b["vec_id"], b["v"], strict=True):
-                x = np.frombuffer(raw)
+            for q, v in zip(b["vec_id"], b["v"], strict=True):
+                x = np.array(v, dtype=np.float64)
+                raw = x.tobytes()
                 cells = traverse(-(books[0] @ x[:half]), -(books[1] @ x[half:]), sizes, enough)
+                # Queries with one best cell look into much the same cells; a cell of very many is spread by the hash below.
+                crowd = place[cells[0]][0] * crowds // blocks
                 by: dict[int, list[int]] = {}
                 for c in cells:
                     first, n = place[c]
                     for block in range(first, first + n):
                         by.setdefault(block, []).append(c)
-                out += [(block, q, raw, np.array(own, dtype=np.int32).tobytes()) for block, own in by.items()]
-            yield pd.DataFrame(out, columns=["block", "query_id", "q", "cells"])
+                out += [(block, crowd, q, raw, np.array(own, dtype=np.int32).tobytes()) for block, own in by.items()]
+            yield pd.DataFrame(out, columns=["block", "crowd", "query_id", "q", "cells"])
 
-    crowd = F.pmod(F.xxhash64("query_id"), F.lit(max(crowds, 1))).cast("int").alias("crowd")
-    probes = queries.select("vec_id", "v").repartition(max(1, min(crowds * 8, 64 * max(crowds, 1)))).mapInPandas(route, "block int, query_id bigint, q binary, cells binary").select("*", crowd)
+    blocks = max(f + n for f, n in place.values())
+    probes = queries.repartition(max(1, min(crowds * 8, 64 * crowds))).mapInPandas(route, "block int, crowd int, query_id bigint, q binary, cells binary")
+    probes = written(probes, "ann-probes")
+    # A crowd of more than BLOCK queries is cut.
+    sizes_ = probes.select("crowd", "query_id").distinct().groupBy("crowd").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("parts"))
+    probes = probes.join(F.broadcast(sizes_), "crowd").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int"))
+    wanted = probes.select("block", "crowd", "part").distinct().groupBy("block").agg(F.collect_list(F.struct("crowd", "part")).alias("to"))
 
     def block_of(batches):
         for b in batches:
@@ -171,7 +215,7 @@ def inverted_multi_index(vectors: DataFrame, k: int = 20, vec_id: str = "vec_id"
             yield b.assign(block=np.array([f + (i % n) for (f, n), i in zip(spot, b["vec_id"], strict=True)], dtype=np.int32))
 
     entries = index.mapInPandas(block_of, "vec_id bigint, v binary, cell int, block int")
-    entries = entries.withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(max(crowds, 1) - 1))))
+    entries = entries.join(wanted, "block").select("vec_id", "v", "cell", "block", F.explode("to").alias("to")).select("vec_id", "v", "cell", "block", "to.crowd", "to.part")
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -191,10 +235,11 @@ def inverted_multi_index(vectors: DataFrame, k: int = 20, vec_id: str = "vec_id"
                     found.append(pd.DataFrame({"query_id": query, "vec_id": best, "score": s}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    by = ["block", "crowd"]
-    near = entries.groupBy(*by).cogroup(probes.groupBy(*by)).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
+    by = ["block", "crowd", "part"]
+    near = written(entries.groupBy(*by).cogroup(probes.groupBy(*by)).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double"), "ann-near")
+    discard(index)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).withColumn("n", F.lit(dim))
 
 
 def op4_inverted_multi_index(spark, sf_dir):
