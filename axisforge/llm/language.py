@@ -25,6 +25,9 @@ STRENGTH = 20.0
 #: The language of texts that fit none, its prior, and the least posterior of an accepted language.
 UNKNOWN, UNKNOWN_PRIOR, LEAST = "und", 1e-4, 0.5
 
+#: Languages whose counts a task holds before it hands them on.
+HELD = 32
+
 #: A-Z as a-z, other bytes as they are.
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint32)
 _LETTER = np.array([97 <= (b | 32) <= 122 or b >= 128 for b in range(256)])
@@ -37,6 +40,12 @@ def trigram_cells(data: np.ndarray) -> np.ndarray:
     return (packed * np.uint32(0x9E3779B1)) >> np.uint32(32 - (CELLS.bit_length() - 1))
 
 
+def language_code(declared: Column) -> Column:
+    """The language that a declaration such as en, EN-us or de_AT names by its code of two or three letters; null for anything else."""
+    code = F.lower(F.regexp_extract(F.trim(declared), r"^([A-Za-z]{2,3})(?:[-_][A-Za-z0-9_-]*)?$", 1))
+    return F.nullif(code, F.lit(""))
+
+
 def fit_sample(docs: DataFrame, declared: str, text: str) -> tuple[DataFrame, list[str]]:
     """The documents (l, t) that the text model is fitted on, and all declared languages.
 
@@ -57,8 +66,8 @@ def fit_sample(docs: DataFrame, declared: str, text: str) -> tuple[DataFrame, li
 def fit_text_model(docs: DataFrame, declared: str, text: str) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities [cells, languages]) of byte trigrams, UNKNOWN last and uniform.
 
-    Every language that a text of 3 bytes or more declares is one of them, however rare; a
-    language takes 256 KB. Each is fitted on FIT of its distinct texts at most, so that copies
+    Every language that a text of 3 bytes or more declares is one of them, however rare;
+    there are as many as language codes are in use, at 256 KB each. Each is fitted on FIT of its distinct texts at most, so that copies
     count once.
     """
     sample, langs = fit_sample(docs, declared, text)
@@ -70,8 +79,14 @@ def fit_text_model(docs: DataFrame, declared: str, text: str) -> tuple[list[str]
             for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = np.frombuffer(t.encode(), dtype=np.uint8)
                 if len(data) > 2:
+                    if lang not in sums and len(sums) == HELD:
+                        yield from counted(sums)
+                        sums.clear()
                     sums.setdefault(lang, np.zeros(CELLS))
                     sums[lang] += np.bincount(trigram_cells(data), minlength=CELLS)
+        yield from counted(sums)
+
+    def counted(sums):
         for lang, s in sums.items():
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_pydict({"l": np.full(len(at), at_lang[lang], dtype=np.int32), "cell": at.astype(np.int32), "n": s[at]}, schema=schema)
@@ -132,7 +147,9 @@ class Evidence:
             self.sides[key] = written(counts.select(key, F.array(*[F.coalesce(F.col("m")[lang], F.lit(0.0)) for lang in self.langs]).alias("_af_n")), "language-counts")
 
     def evidence(self, docs: DataFrame, names: list[str]) -> DataFrame:
-        return docs.select(*[F.col(f"`{c}`") for c in names], *[(F.col(f"`{c}`").cast("string") if c else F.lit(None).cast("string")).alias(a) for a, c in self.columns.items()], F.col(f"`{self.text}`").alias("_af_text"))
+        value = {a: F.col(f"`{c}`").cast("string") if c else F.lit(None).cast("string") for a, c in self.columns.items()}
+        value["_af_declared"] = language_code(value["_af_declared"])
+        return docs.select(*[F.col(f"`{c}`") for c in names], *[v.alias(a) for a, v in value.items()], F.col(f"`{self.text}`").alias("_af_text"))
 
     def named(self, at: Column) -> Column:
         return F.element_at(F.array(*map(F.lit, self.langs)), at.cast("int"))
@@ -180,14 +197,18 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = None, h
         table of how often it occurs with the texts' own languages, over all rows;
       - the prior of the host: its share of each language, smoothed towards that of its domain,
         and this towards that of all rows, by STRENGTH documents each.
-    declared, host, domain and suffix name columns; those not given count for nothing.
+    declared, host, domain and suffix name columns; those not given count for nothing. What
+    declares no language code is undeclared (see language_code). Texts that declare a
+    language have also trained its text model, so that both kinds of evidence agree more
+    than independent ones would; the tempered likelihood allows for it.
     kept: the best language is not UNKNOWN, has a posterior of LEAST or more and is one of
     `accepted` (None: any), and the text holds a letter.
 
     Texts are scored twice, first for the counts, grouped aggregates of a compact table, then
     with them, so that no text is written or moved; hosts may be any number. Null or empty
     texts, and those without letters, are UNKNOWN and not kept; a null declaration, suffix or
-    host is a value of its own. Repeated rows stay. Columns with the names of the results are
+    host is a value of its own. Of languages with equal posteriors the first code wins.
+    Repeated rows stay. Empty tables give empty results, long texts are read whole. Columns with the names of the results are
     replaced.
     """
     names = without(docs, "language", "posterior", "text_language", "kept").columns if carry is None else carry

@@ -28,6 +28,8 @@ SHARDS, SHARD_ROWS = 8, 500_000
 GROUP = 8 << 20
 #: The share of trusted documents of a language that lie at or below its threshold.
 QUANTILE = 0.99
+#: Bytes of average text for which the threshold makes allowance, as the perplexities of short texts vary widely.
+PRIOR = 100
 #: Bytes of text that are counted at once.
 RUN = 1 << 22
 
@@ -240,11 +242,15 @@ def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id
 
     labels: (doc_id, quality, toxic); trusted are the documents of quality 1 that aren't
     toxic. The byte n-gram model is fitted on one in FOLDS of them, chosen by a hash of the
-    id, however many they are. The threshold of a language is the QUANTILE (to 1 in 10,000
-    of its rank) of the perplexities of its trusted documents that the model wasn't fitted
-    on; of a language without any (null, say), that of all. Documents above it aren't kept.
-
-    Null and empty texts have no perplexity and are kept. Without trusted documents all are
+    id, however many they are; perplexity is that of a document's own bytes. Thresholds come
+    from the trusted documents that the model wasn't fitted on. As short texts vary widely, a
+    text of n bytes and entropy e counts as (n e + PRIOR m) / (n + PRIOR), m being its
+    language's mean. The limit l of a language is the QUANTILE (to 1 in 10,000 of its rank) of
+    these, and the threshold at n bytes the perplexity that comes up to it,
+    exp(l + (l - m) PRIOR / n); of a language without any trusted ones (null, say), that of
+    all. Documents above it aren't kept.
+
+    Null and empty texts have neither perplexity nor threshold and are kept. Without trusted documents all are
     kept, with null thresholds. Repeated rows stay; labels count once. Texts meet the counts
     by a 64-bit hash of id and text. Long texts are counted in slices. Columns with the names
     of the results are replaced.
@@ -261,14 +267,21 @@ def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id
     bits = written(scores(some, model, text_bytes(docs, text)), "quality-scores")
     discard(model)
     rows = docs.select(*[F.col(f"`{c}`") for c in names], own_id.alias("_af_id"), F.col(f"`{lang}`").alias("_af_lang"), key.alias("_af_key"), F.coalesce(F.octet_length(raw), F.lit(0)).alias("_af_size"))
-    mean = bits.select(F.col("key").alias("_af_k"), F.exp(F.col("bits") / F.col("n")).alias("perplexity"))
-    found = rows.join(mean, (F.col("_af_key") == F.col("_af_k")) & (F.col("_af_size") > 0), "left").drop("_af_k", "_af_key", "_af_size")
+    mean = bits.select(F.col("key").alias("_af_k"), (F.col("bits") / F.col("n")).alias("_af_e"))
+    found = rows.join(mean, (F.col("_af_key") == F.col("_af_k")) & (F.col("_af_size") > 0), "left").drop("_af_k", "_af_key")
     own = written(found, "quality-rows")
-    cut = F.percentile_approx("perplexity", QUANTILE, 10_000)
-    tested = own.select("_af_id", "_af_lang", "perplexity").join(good.where(~chosen("_af_good")), F.col("_af_id") == F.col("_af_good"), "left_semi").where("perplexity is not null")
-    whole = tested.agg(cut).first()[0]
-    limits = written(tested.groupBy(F.col("_af_lang").alias("_af_l")).agg(cut.alias("_af_limit")), "quality-limits")
-    out = own.join(limits, F.col("_af_lang").eqNullSafe(F.col("_af_l")), "left").withColumn("threshold", F.coalesce("_af_limit", F.lit(whole).cast("double")))
+    tested = own.select("_af_id", "_af_lang", "_af_size", "_af_e").join(good.where(~chosen("_af_good")), F.col("_af_id") == F.col("_af_good"), "left_semi").where("_af_e is not null")
+    average = F.sum(F.col("_af_e") * F.col("_af_size")) / F.sum("_af_size")
+    means = written(tested.groupBy(F.col("_af_lang").alias("_af_l")).agg(average.alias("_af_m")), "quality-means")
+    counted = (F.col("_af_e") * F.col("_af_size") + PRIOR * F.col("_af_m")) / (F.col("_af_size") + PRIOR)
+    tested = tested.join(means, F.col("_af_lang").eqNullSafe(F.col("_af_l"))).withColumn("_af_c", counted)
+    cut = F.percentile_approx("_af_c", QUANTILE, 10_000)
+    all_cut, all_mean = tested.agg(cut, average).first()
+    limits = written(tested.groupBy("_af_l").agg(cut.alias("_af_cut"), F.first("_af_m").alias("_af_m")), "quality-limits")
+    limit, middle = F.coalesce("_af_cut", F.lit(all_cut).cast("double")), F.coalesce("_af_m", F.lit(all_mean).cast("double"))
+    out = own.join(limits, F.col("_af_lang").eqNullSafe(F.col("_af_l")), "left")
+    threshold = F.exp(limit + (limit - middle) * PRIOR / F.when(F.col("_af_size") > 0, F.col("_af_size")))
+    out = out.withColumn("perplexity", F.exp("_af_e")).withColumn("threshold", threshold)
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select(*[F.col(f"`{c}`") for c in names], "perplexity", "threshold", kept.alias("kept"))
 

@@ -201,7 +201,13 @@ def test_mix_of_edge_cases(spark, docs, none):
     assert mix(docs).count() == docs.count()
     everything = mix(docs, share=9.0).collect()
     assert all(r.taken == 2 * r.size for r in everything)
-    assert all(r.size == 0 for r in mix(frame(spark, [(1, None, None, None, None), (2, " ", None, "a", 1)])).collect())
+    empty = frame(spark, [(1, None, None, None, None), (2, " ", None, "a", 1), (3, "", None, "b", 0), (4, "some words", None, "b", 0)])
+    out = {r.doc_id: (r.size, r.whole, r.extra, r.taken) for r in mix(empty, share=9.0).collect()}
+    assert out == {1: (0, 0, 0, 0), 2: (0, 0, 0, 0), 3: (0, 1, 0, 0), 4: (2, 2, 0, 4)}
+    # Rows without ids share a hash: what is taken doesn't depend on how they are dealt out.
+    same = [(None, f"{'w ' * (1 + i % 3)}{i}", None, "a", i) for i in range(200)]
+    taken = [sorted((r.text, r.taken) for r in mix(frame(spark, same).repartition(n), share=0.5).collect()) for n in (1, 5)]
+    assert taken[0] == taken[1]
 
 
 # 4: nearest neighbours
@@ -254,6 +260,23 @@ def test_neighbours_are_found(spark, monkeypatch):
     assert hit / total >= 0.9
 
 
+def test_neighbours_of_several_lengths_and_shared_ids(spark):
+    g = np.random.default_rng(3)
+    rows = [(i, g.normal(size=(2, 3, 5)[i % 3]).tolist()) for i in range(0, 300, 5)]
+    rows += [(40, [1.0, 2.0, 3.0]), (40, [1.0, 2.0, 4.0]), (45, rows[9][1])]
+    got = defaultdict(list)
+    for r in ann.inverted_multi_index(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id))
+    by = defaultdict(list)
+    for i, v in rows:
+        by[i].append(v)
+    queries = {i: min((v for v in own if len(v) == min(map(len, own)))) for i, own in by.items() if i % 20 == 0}
+    assert set(got) == set(queries) and {len(v) for v in queries.values()} == {2, 3, 5}
+    for q, x in queries.items():
+        near = sorted((-(np.array(v) * x).sum(), i) for i, v in rows if i != q and len(v) == len(x))
+        assert [i for _, i in got[q]] == [i for _, i in near[:20]]
+
+
 def test_neighbours_of_few(spark):
     df = spark.createDataFrame([(0, [1.0]), (7, [2.0]), (8, [2.0])], "vec_id bigint, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.inverted_multi_index(df).orderBy("rank").collect()] == [(0, 1, 7, 2.0), (0, 2, 8, 2.0)]
@@ -342,7 +365,9 @@ def test_url_rules_and_aliases(spark):
         "page_id bigint, url string, html string",
     ).withColumn("verdict", F.lit("clash"))
     rules = spark.createDataFrame([("bad.com", "/", "block"), ("good.org", "/", "allow"), ("com", "/zz", "block")], RULES)
-    out = {r.page_id: r for r in urls.url_verdicts(pages, rules).collect()}
+    # An empty path is the usual variant of /.
+    assert [r.verdict for r in urls.url_verdicts(pages, rules).where("page_id = 8").collect()] == ["block"]
+    out = {r.page_id: r for r in urls.url_verdicts(pages, rules, variants=False).collect()}
     assert {k: r.verdict for k, r in out.items()} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "allow", 9: "allow"}
     assert (out[1].host, out[1].path, out[1].rule) == ("a.bad.com", "/x", "bad.com/") and (out[8].host, out[8].path, out[8].rule) == ("bad.com", "", None)
     assert (out[6].host, out[6].path) == ("", "") == (out[7].host, out[7].path) and out[2].host == "other.org"
@@ -372,16 +397,27 @@ def test_links_in_all_usual_forms_make_aliases(spark):
             (9, "https://good.org/9", '<base href="/bad/">' + link("z")),
             (10, "https://good.org/10", link("mailto:a@evil.org") + link("http://[") + link("/10")),
             (11, None, link("/bad/x")),
+            (12, "https://good.org/12", '<meta http-equiv="refresh" content="600; url=/bad/y">'),
+            (13, "https://good.org/13", "<p>" + "x" * 300_000 + "</p>" + link("/bad/" + "y" * 50_000)),
         ],
         "page_id bigint, url string, html string",
     )
     rules = spark.createDataFrame([("evil.org", "/", "block"), ("good.org", "/bad/", "block")], RULES)
     got = {r.page_id: r.verdict for r in urls.url_verdicts(pages, rules).collect()}
-    assert got == {i: "allow" if i > 9 else "block" for i in range(1, 12)}
+    assert got == {i: "allow" if 9 < i < 13 else "block" for i in range(1, 14)}
     targets = {(r.url, r.target) for r in urls.html_links(pages).collect()}
     assert ("https://good.org/7", "https://evil.org/q?a=1&b=2&copy=3") in targets and ("http://good.org/3", "http://evil.org/x") in targets
 
 
+def test_variants_of_an_address_are_aliases(spark):
+    pages = spark.createDataFrame([(1, "http://www.a.org/es?utm_source=x&q=1#top"), (2, "https://a.org:443/es/?q=1"), (3, "https://a.org/es/?q=2"), (4, "ftp://a.org/es/"), (5, "http://www.com/es"), (6, "HTTP://A.org/es?q=1&GCLID=7"), (7, "https://m.a.org/es?q=1"), (8, "http://b.org")], "page_id bigint, url string")
+    form = {r.page_id: r.f for r in pages.select("page_id", urls.usual_form(F.col("url")).alias("f")).collect()}
+    assert form == {1: "https://a.org/es?q=1", 2: "https://a.org/es?q=1", 3: "https://a.org/es?q=2", 4: None, 5: "https://www.com/es", 6: "https://a.org/es?q=1", 7: "https://m.a.org/es?q=1", 8: "https://b.org/"}
+    rules = spark.createDataFrame([("org:443", "/es/", "block")], RULES)
+    assert {r.page_id for r in urls.url_verdicts(pages, rules).where("verdict = 'block'").collect()} == {1, 2, 6}
+    assert {r.page_id for r in urls.url_verdicts(pages, rules, variants=False).where("verdict = 'block'").collect()} == {2}
+
+
 # 7: language
 
 
@@ -407,6 +443,46 @@ def test_evidence_is_fused_as_stated(spark):
     assert np.allclose(np.exp(model.astype(float)).sum(axis=0), 1, atol=1e-3)
 
 
+def test_the_posterior_equals_bayes_by_hand(spark):
+    """All kinds of evidence against the formula, from counts in dictionaries."""
+    common.ship(spark)
+    g = random.Random(21)
+    other = lambda n: " ".join("".join(g.choice("xyzqjkw") for _ in range(5)) for _ in range(n))
+    rows = []
+    for i in range(120):
+        en = g.random() < 0.6
+        rows.append((i, prose(g, 6) if en else other(6), g.choice(["en", "EN-us", None, "not a code"] if en else ["xx", "xx_YY", None]), f"h{i % 5}", f"d{i % 2}", "en" if en and i % 3 else "org"))
+    rows += [(900, None, "en", "h0", "d0", "en"), (901, "12345", "en", "new", None, None), (902, "", None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, l string, h string, d string, s string")
+    how = {"declared": "l", "host": "h", "domain": "d", "suffix": "s"}
+    known = language.Evidence(df, **how)
+    langs = known.langs
+    assert langs == ["en", "xx", language.UNKNOWN]
+    ll = {r.doc_id: (list(map(float, r._af_ll)), r._af_best) for r in known.scored(df, ["doc_id"]).collect()}
+    code = lambda v: {"en": "en", "EN-us": "en", "xx": "xx", "xx_YY": "xx"}.get(v)
+    counts = [Counter((key(r), ll[r[0]][1]) for r in rows) for key in (lambda r: code(r[2]), lambda r: r[5], lambda r: r[4], lambda r: r[3])]
+    total = Counter(best for _, best in ll.values())
+    out = {r.doc_id: r for r in language.identify(df, carry=["doc_id"], **how).collect()}
+    for r in rows:
+        log = []
+        for j, lang in enumerate(langs):
+            x = ll[r[0]][0][j]
+            for table, value in ((counts[0], code(r[2])), (counts[1], r[5])):
+                values = len({v for v, _ in table}) + 1
+                x += math.log((table[value, lang] + 0.5) / (total[lang] + 0.5 * values))
+            log.append(x)
+        prior = [language.UNKNOWN_PRIOR if lang == language.UNKNOWN else max(total[lang], 1) / len(rows) for lang in langs]
+        for table, value in ((counts[2], r[4]), (counts[3], r[3])):
+            mass = [table[value, lang] + p * language.STRENGTH for lang, p in zip(langs, prior)]
+            prior = [m / sum(mass) for m in mass]
+        log = [x + math.log(p) for x, p in zip(log, prior)]
+        top = max(log)
+        got = out[r[0]]
+        assert got.posterior == pytest.approx(1 / sum(math.exp(x - top) for x in log), rel=1e-4)
+        want = langs[log.index(top)] if any(c.isalpha() for c in r[1] or "") else language.UNKNOWN
+        assert got.language == want and got.kept == (want != language.UNKNOWN and got.posterior >= language.LEAST)
+
+
 def test_language_of_edge_cases(spark, docs, none):
     out = language.identify(docs.withColumn("kept", F.lit(1)), declared="lang", host="source").collect()
     assert len(out) == docs.count()
@@ -553,17 +629,22 @@ def test_perplexity_quantiles_and_verdicts_equal_brute_force(spark, monkeypatch)
         return math.exp(bits / (len(data) - 4))
 
     want = {(i, lang): perplexity(t) if t else None for i, t, lang in rows}
-    tested = defaultdict(list)
-    for i, t, lang in rows:
-        if t and i in good - fold:
-            tested[lang].append(want[i, lang])
-            tested["all"].append(want[i, lang])
-    limit = {k: sorted(v)[math.ceil(quality.QUANTILE * len(v)) - 1] for k, v in tested.items()}
+    tested = [(lang, len(t.encode()), math.log(want[i, lang])) for i, t, lang in rows if t and i in good - fold]
+    average = lambda some: sum(n * e for _, n, e in some) / sum(n for _, n, _ in some)
+    mean = {lang: average([x for x in tested if x[0] == lang]) for lang in {x[0] for x in tested}}
+    counted = [(lang, (n * e + quality.PRIOR * mean[lang]) / (n + quality.PRIOR)) for lang, n, e in tested]
+    at = lambda values: sorted(values)[math.ceil(quality.QUANTILE * len(values)) - 1]
+    limit = {lang: (at([c for x, c in counted if x == lang]), mean[lang]) for lang in mean} | {"all": (at([c for _, c in counted]), average(tested))}
     assert len(limit) > 2
+    by = {(i, lang): len((t or "").encode()) for i, t, lang in rows}
     for r in out:
-        p, most = want[r.doc_id, r.lang], limit.get(r.lang, limit["all"])
-        assert (r.perplexity is None) == (p is None) and (p is None or r.perplexity == pytest.approx(p, rel=1e-5)) and r.threshold == pytest.approx(most, rel=1e-5)
-        assert r.kept == (p is None or r.perplexity <= r.threshold)
+        p, n = want[r.doc_id, r.lang], by[r.doc_id, r.lang]
+        if not n:
+            assert (r.perplexity, r.threshold, r.kept) == (None, None, True)
+            continue
+        most, middle = limit.get(r.lang, limit["all"])
+        assert r.perplexity == pytest.approx(p, rel=1e-5) and r.threshold == pytest.approx(math.exp(most + (most - middle) * quality.PRIOR / n), rel=1e-4)
+        assert r.kept == (r.perplexity <= r.threshold)
 
 
 def test_quality_counts_grow_with_the_trusted_documents(spark, monkeypatch):
