@@ -32,6 +32,8 @@ QUANTILE = 0.99
 PRIOR = 100
 #: Bytes of text that are counted at once.
 RUN = 1 << 22
+#: Ids of trusted documents up to this number are broadcast, so that no text moves to meet them; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 #: The upper 40 bits hold an n-gram, the lower 24 the number of its document in a run.
 _GRAM, _DOC = np.uint64(0xFFFFFFFFFF000000), np.uint64(0xFFFFFF)
@@ -260,7 +262,9 @@ def kneser_ney_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id
     good = written(good, "quality-trusted")
     chosen = lambda c: F.pmod(F.xxhash64(c, F.lit("fit")), F.lit(FOLDS)) == 0
     raw, own_id = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
-    trusted = docs.join(good.where(chosen("_af_good")), own_id == F.col("_af_good"), "left_semi").select(raw.alias("text"))
+    counted = good.where(chosen("_af_good"))
+    counted = F.broadcast(counted) if good.count() <= BROADCAST_IDS else counted
+    trusted = docs.join(counted, own_id == F.col("_af_good"), "left_semi").select(raw.alias("text"))
     model = written(fit(trusted, "text"), "quality-table")
     key = row_key(own_id, raw)
     some = docs.where(F.octet_length(raw) > 0).select(key.alias("key"), raw.alias("text"))
