@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from axisforge.llm import common
@@ -48,3 +49,21 @@ def test_stages_take_effect(spark):
 def test_run_equals_the_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "ids", "n_tokens"} <= set(out.columns)
+
+
+def test_stages_on_odd_rows_and_on_none(spark):
+    words = "the and with that have this from they been will would there their what about which when make like time just know take"
+    rows = [(i, f"{words} {i}", "en", "a", 100) for i in range(6)]
+    rows += [(None, None, None, None, None), (None, f"{words} more", "en", None, 9), (None, f"{words} more", "en", None, 9), (7, None, "en", "a", 0), (8, "", "de", "b", 0), (9, "12 34", "en", "b", 5), (3, "another text with the id of the third one, and of some length", "en", "b", 9), (10, "the and that " * 20_000, "en", "c", 1)]
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("kept", F.lit("own")).withColumn("size", F.lit(1))
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            alone = stage(spark, docs, SF)  # each stage also takes the rows as they are
+            before = docs.count()
+            assert (alone.columns == docs.columns) == (k < 4) and alone.count() <= 2 * before
+            if not given:
+                assert alone.collect() == []
+    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), SF)
+    assert all(r.text and any(c.isalpha() for c in r.text) for r in kept.collect())
+    one = corpus_pipeline.exact(spark, kept, SF).collect()
+    assert len(one) == len({r.text for r in one}) and sum(r.doc_id is None for r in one) == 1
