@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from axisforge.functions import kinematics as K
 
-#: Stored as float; the others are n_jets, side, partner_eta and weight.
+#: The names of what is stored as float; the others are n_jets, side, partner_eta and weight.
 SUMS = ("px", "py", "pz", "energy", "pt", "eta", "phi", "mass", "pt_par", "pt_perp")
 
 

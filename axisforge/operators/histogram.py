@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: The steps of the stitching cutflow.
+STEPS = ("hemispheres", "total budget", "draws", "pseudo-events", "failed matches")
+
 
 def histogram(rows: DataFrame, value: str, bins: int, low: float, high: float, name: str) -> DataFrame:
     """(hist, bin, low, high, n): bins 1 to `bins`, each with its lower edge inside, 0 below and bins + 1 above.
@@ -36,8 +39,7 @@ def library_totals(lib: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def stitch_cutflow(lib: DataFrame, draws: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, step, n): hemispheres, total budget, draws, pseudo-events and failed matches."""
-    totals = lib.groupBy(*keys).agg(F.count(F.lit(1)).alias("hemispheres"), F.sum("budget").cast("long").alias("total budget"))
-    counts = draws.groupBy(*keys).agg(F.count(F.lit(1)).alias("draws"), F.count_if(F.col("match").isNotNull()).alias("pseudo-events"), F.count_if(F.col("match").isNull()).alias("failed matches"))
-    out = totals.join(counts, keys, "left").na.fill(0, ["draws", "pseudo-events", "failed matches"])
-    return out.unpivot(keys, ["hemispheres", "total budget", "draws", "pseudo-events", "failed matches"], "step", "n")
+    """(keys, step, n) for each of STEPS."""
+    totals = lib.groupBy(*keys).agg(F.count(F.lit(1)).alias(STEPS[0]), F.sum("budget").cast("long").alias(STEPS[1]))
+    counts = draws.groupBy(*keys).agg(*[c.alias(n) for c, n in zip((F.count(F.lit(1)), F.count_if(F.col("match").isNotNull()), F.count_if(F.col("match").isNull())), STEPS[2:], strict=True)])
+    return totals.join(counts, keys, "left").na.fill(0, list(STEPS[2:])).unpivot(keys, list(STEPS), "step", "n")

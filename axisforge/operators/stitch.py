@@ -22,7 +22,7 @@ class Usage:
     what was used up before.
     """
 
-    def __init__(self, budgets: np.ndarray, generator: np.random.Generator):
+    def __init__(self, budgets: np.ndarray, generator):
         self.left = budgets.tolist()
         self.generator = generator
         self.pool = [i for i, b in enumerate(self.left) if b > 0]
@@ -46,40 +46,75 @@ class Usage:
         return i
 
 
+class Pairing(Usage):
+    """Usage, and who has been paired with whom: pairs don't repeat, in either direction."""
+
+    def __init__(self, budgets: np.ndarray, generator):
+        super().__init__(budgets, generator)
+        self.paired: set[tuple] = set()
+
+    def admit(self, budget: int) -> int:
+        """The number of one more member."""
+        i = len(self.left)
+        self.left.append(budget)
+        if budget > 0:
+            self.place[i] = len(self.pool)
+            self.pool.append(i)
+        return i
+
+    def first_open(self, seed, candidates, at: int = 0, end: int | None = None, used_up: bool = False) -> int:
+        """The first place from `at` on of a candidate that isn't paired with the seed and, unless `used_up` ones count, has uses left; `end` if there is none."""
+        end = len(candidates) if end is None else end
+        while at < end and ((seed, candidates[at]) in self.paired or not (used_up or self.left[candidates[at]] > 0)):
+            at += 1
+        return at
+
+    def pair(self, seed, match: int) -> None:
+        self.spend(match)
+        self.paired |= {(seed, match), (match, seed)}
+
+    def retire(self, seed: int) -> None:
+        """A seed that found no match would only fail again: it loses the uses it has left."""
+        self.spend(seed, self.left[seed])
+
+
+class HashDraws:
+    """Whole numbers by hashes of their turn, in the place of a random generator: the k-th, from 1, of integers(n) is floor(u n)."""
+
+    def __init__(self, seed: int):
+        self.seed, self.turn = seed, 0
+
+    def integers(self, n: int) -> int:
+        self.turn += 1
+        return (self.turn * 69_621 + self.turn * self.turn * 40_503 + self.seed * 9_973) % 1_000_003 * n // 1_000_003
+
+
 def drawn_budgets(weights: np.ndarray, generator: np.random.Generator) -> np.ndarray:
     """Stochastic rounding with one uniform number for each weight, whether it needs one or not."""
     floor = np.floor(weights)
     return (floor + (generator.random(len(weights)) < weights - floor)).astype(np.int64)
 
 
-def resolve(budgets: np.ndarray, generator: np.random.Generator, seeds: np.ndarray, matches: np.ndarray, distances: np.ndarray) -> list[tuple[int, int | None, float | None]]:
+def resolve(budgets: np.ndarray, generator, seeds: np.ndarray, matches: np.ndarray, distances: np.ndarray) -> list[tuple[int, int | None, float | None]]:
     """(seed, match, distance) of each draw until no uses are left, by positions in the library; match None: none was found.
 
     The candidate edges are sorted by (seed, distance, match). A candidate that is used up or
     paired with the seed before is never open to it again, so that each seed keeps a cursor
-    in its candidates, and the work is one pass over the edges and draws. A seed without an
-    open candidate loses the uses it has left: it would only fail again.
+    in its candidates, and the work is one pass over the edges and draws.
     """
-    usage = Usage(budgets, generator)
+    pairing = Pairing(budgets, generator)
     cursor = np.searchsorted(seeds, np.arange(len(budgets)), side="left").tolist()
     stop = np.searchsorted(seeds, np.arange(len(budgets)), side="right").tolist()
     partner, far = matches.tolist(), distances.tolist()
-    paired: set[tuple[int, int]] = set()
     out = []
-    while (seed := usage.draw()) is not None:
-        at, end = cursor[seed], stop[seed]
-        while at < end and (usage.left[partner[at]] <= 0 or (seed, partner[at]) in paired):
-            at += 1
-        cursor[seed] = at
-        if at == end:
-            usage.spend(seed, usage.left[seed])
+    while (seed := pairing.draw()) is not None:
+        cursor[seed] = at = pairing.first_open(seed, partner, cursor[seed], stop[seed])
+        if at == stop[seed]:
+            pairing.retire(seed)
             out.append((seed, None, None))
-            continue
-        match = partner[at]
-        usage.spend(match)
-        paired.add((seed, match))
-        paired.add((match, seed))
-        out.append((seed, match, far[at]))
+        else:
+            pairing.pair(seed, partner[at])
+            out.append((seed, partner[at], far[at]))
     return out
 
 
@@ -95,13 +130,14 @@ def with_drawn_budgets(lib: DataFrame, scope: str, seed: int = 42) -> DataFrame:
     return lib.select(scope, "id", "pt", "weight").groupBy(scope).applyInPandas(run, schema)
 
 
-def stitch(lib: DataFrame, edges: DataFrame, scope: str, seed: int = 42) -> DataFrame:
+def stitch(lib: DataFrame, edges: DataFrame, scope: str, seed: int = 42, random: str = "pcg64") -> DataFrame:
     """(scope, draw, seed, match, distance) of every draw in every library; match is null where none was found.
 
     lib: scope, id, and either budget or weight (from which budgets are then drawn, in the
     order of id, by the same generator that draws seeds). Draws depend on each other within
     a library, so a library is a task; its candidate edges, found beforehand by a distributed
-    join, are all that it needs. Each library starts from the same seed.
+    join, are all that it needs. Each library starts from the same seed. random: `pcg64`, or
+    `hash` for draws by HashDraws, which needs budgets.
     """
     has_budget = "budget" in lib.columns
     size = "budget" if has_budget else "weight"
@@ -111,7 +147,7 @@ def stitch(lib: DataFrame, edges: DataFrame, scope: str, seed: int = 42) -> Data
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = left.sort_values("id", kind="stable")
         ids, values = left["id"].to_numpy(), left[size].to_numpy()
-        generator = np.random.default_rng(seed)
+        generator = HashDraws(seed) if random == "hash" else np.random.default_rng(seed)
         budgets = values.astype(np.int64) if has_budget else drawn_budgets(values.astype(np.float64), generator)
         s, m, d2 = np.searchsorted(ids, right["seed"].to_numpy()), np.searchsorted(ids, right["match"].to_numpy()), right["d2"].to_numpy(dtype=np.float64)
         order = np.lexsort((m, d2, s))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from axisforge.config import MixConfig, StitchConfig
 from axisforge.operators import hemisphere, histogram, match, stitch, thrust
 from axisforge.operators.weights import hash_budget
+from axisforge.sources.scratch import written
 
 
 def mix(events: DataFrame, config: MixConfig | None = None, weight: Column | None = None, jets: str = "jets") -> DataFrame:
@@ -39,23 +40,35 @@ class Stitched:
     cutflow: DataFrame
 
 
+def event_number(keys: list[str]) -> Column:
+    """One non-negative long in the order of the keys, from which two ids are made; an error where a key is null, negative or too large for it."""
+    room = 1 << 62 if len(keys) == 1 else 1 << (62 // len(keys))
+    out = F.lit(0).cast("long")
+    for k in keys:
+        key = F.col(k).cast("long")
+        fits = key.isNotNull() & (key >= 0) & (key < F.lit(room))
+        wrong = F.raise_error(F.concat(F.lit(f"{k} must be from 0 to {room - 1}, not "), F.coalesce(key.cast("string"), F.lit("null")))).cast("long")
+        out = out * F.lit(room if len(keys) > 1 else 1) + F.when(fits, key).otherwise(wrong)
+    return out
+
+
 def stitched(mixed: DataFrame, scope: str, keys: list[str], config: StitchConfig | None = None, random: str = "pcg64", jets: str = "jets") -> Stitched:
     """The pseudo-events of each library (equal `scope`) of mixed events.
 
     keys identify an event within a library, in its order. random: `pcg64` draws budgets and
-    seeds one after another; with `hash` budgets depend on the event and side alone.
+    seeds one after another; with `hash` budgets depend on the event and side, and draws on
+    their turn. The library, its candidate edges and the draws are written once, so that all
+    results agree. A library's edges, about as many as the square of its hemispheres over the
+    room that max_distance and pt_tolerance leave, must fit one task: jobs bound a library.
     """
     config = config or StitchConfig()
     lib = hemisphere.library(mixed, [scope, *keys], config.jets_per_hemisphere, jets)
-    # Ids keep the order of the library; events are non-negative longs.
-    event = F.col(keys[0]).cast("long")
-    for k in keys[1:]:
-        event = event * F.lit(1 << 32) + F.col(k).cast("long")
-    lib = lib.withColumn("ev", event).withColumn("id", F.col("ev") * 2 + F.col("slot"))
+    lib = lib.withColumn("ev", event_number(keys)).withColumn("id", F.col("ev") * 2 + F.col("slot"))
     if random == "hash":
         lib = lib.withColumn("budget", hash_budget(F.col("weight"), F.col("ev"), F.col("side"), config.seed))
-    edges = match.candidate_edges(lib, lib, [scope], config.max_distance, config.pt_tolerance)
-    draws = stitch.stitch(lib, edges, scope, config.seed)
+    lib = written(lib, "library")
+    edges = written(match.candidate_edges(lib, lib, [scope], config.max_distance, config.pt_tolerance), "library-edges")
+    draws = written(stitch.stitch(lib, edges, scope, config.seed, random), "library-draws")
     events = stitch.pseudo_events(draws, lib, [scope], config.scan_points)
     found = draws.where(F.col("match").isNotNull()).select(F.col("distance").cast("float").alias("match_distance"))
     high = config.max_distance if config.max_distance is not None else 10.0

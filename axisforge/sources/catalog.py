@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from axisforge.functions import names
+from axisforge.sources.scratch import written
 
 FILES = T.StructType([T.StructField(c, T.StringType()) for c in ("dataset", "path", "tree")])
 _FILESET = T.MapType(T.StringType(), T.StructType([T.StructField("files", T.MapType(T.StringType(), T.StringType()))]))
@@ -35,9 +37,13 @@ def read_filelists(spark: SparkSession, paths: str | list[str], redirector: str
 
 
 def read_filesets(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(dataset, path, tree, at) of fileset JSONs {name: {"files": {path: tree}}}, files or folders of them; at orders the inputs."""
-    raw = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "false").text(paths, wholetext=True).select(F.input_file_name().alias("at"), F.from_json("value", _FILESET, {"mode": "FAILFAST"}).alias("m"))
-    out = raw.select("at", F.explode("m").alias("dataset", "f"))
+    """(dataset, path, tree, at) of fileset JSONs {name: {"files": {path: tree}}}, files or folders of them; at orders them by argument, within a folder by name."""
+    out = None
+    for i, path in enumerate([paths] if isinstance(paths, str) else paths):
+        raw = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "false").text(path, wholetext=True)
+        one = raw.select(F.struct(F.lit(i).alias("argument"), F.input_file_name().alias("file")).alias("at"), F.from_json("value", _FILESET, {"mode": "FAILFAST"}).alias("m"))
+        out = one if out is None else out.unionByName(one)
+    out = out.select("at", F.explode("m").alias("dataset", "f"))
     return out.select("dataset", F.explode("f.files").alias("path", "tree"), "at").select("dataset", "path", "tree", "at")
 
 
@@ -87,12 +93,47 @@ def read_cross_sections(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode("m").alias("dataset", "x")).select("dataset", F.col("x.xs_pb").alias("xs_pb"))
 
 
-def read_events(spark: SparkSession, base: str, tree: str = "events", schema: T.StructType | None = None) -> DataFrame:
-    """The Parquet table `tree` in the folder base; for `events`, `Events` will do. Without one, an empty table of the schema."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for name in [tree, "Events"] if tree == "events" else [tree]:
+def find_table(spark: SparkSession, base: str, names: list[str]) -> str | None:
+    """The first Parquet table of that name that is in the folder base."""
+    for name in names:
         for place in (f"{base}/{name}", f"{base}/{name}.parquet"):
-            p = fs_path(place)
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
             if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-                return spark.read.parquet(place)
-    return spark.createDataFrame([], schema or T.StructType([]))
+                return place
+    return None
+
+
+def read_events(spark: SparkSession, base: str, tree: str = "events", schema: T.StructType | None = None) -> DataFrame:
+    """The Parquet table `tree` in the folder base; for `events`, `Events` will do. Without one, an empty table of the schema."""
+    place = find_table(spark, base, [tree, "Events"] if tree == "events" else [tree])
+    return spark.read.parquet(place) if place else spark.createDataFrame([], schema or T.StructType([]))
+
+
+def with_entries(events: DataFrame, name: str = "entry") -> DataFrame:
+    """events with their place in the table, from 0 and without gaps, in the order of its files. Only the counts of partitions meet."""
+    at, part = F.col("_at"), F.call_function("shiftright", F.col("_at"), F.lit(33))
+    rows = written(events.withColumn("_at", F.monotonically_increasing_id()), "entries").withColumn("_part", part)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return rows.join(counts, "_part").withColumn(name, at.bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_off")).drop("_at", "_part", "_off")
+
+
+@dataclass
+class InputRecords:
+    """What an input folder says of itself beside its events."""
+
+    cutflow: DataFrame | None  # (bin int, n double), bin 0 the events that there were to begin with
+    version: str | None
+
+    @property
+    def n_original(self) -> float | None:
+        """The events of bin 0, which weights are divided by; None without a cutflow."""
+        first = self.cutflow.where("bin = 0").first() if self.cutflow is not None else None
+        return float(first.n) if first else None
+
+
+def read_records(spark: SparkSession, base: str) -> InputRecords:
+    """From the tables `cutflow` (bin, n) and `version` (label) of an input folder, each of which may be missing."""
+    cutflow, version = (find_table(spark, base, [name]) for name in ("cutflow", "version"))
+    label = spark.read.parquet(version).select("label").first() if version else None
+    return InputRecords(spark.read.parquet(cutflow).select("bin", "n") if cutflow else None, label[0] if label else None)
