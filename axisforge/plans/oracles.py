@@ -94,13 +94,48 @@ def _histogram(name: str, source: str, value: str, bins: int, high: str) -> str:
 SUMS = ("px", "py", "pz", "energy", "pt", "eta", "phi", "mass", "pt_par", "pt_perp", "partner_eta")
 _SUMS = ", ".join(_r(c, c) for c in SUMS)
 _THRUST = f"WITH {JETS}, {_axis()} SELECT key AS ev, {_r('phi', 'thrust_axis_phi')}, {_r('thrust', 'thrust')} FROM axis"
-_PAIR_JETS = """
+
+
+def _pair_jets(made: str, key: str) -> str:
+    """The jets of the pairs (seed, match) of `made`, by a key of theirs."""
+    return f"""
 sided AS (SELECT t.*, CASE WHEN t.px * cos(a.phi) + t.py * sin(a.phi) > 0 THEN 0 ELSE 1 END AS slot FROM mom t JOIN axis a USING (key)),
 own AS (SELECT key * 2 + slot AS id, j, pt, eta, phi, m, px, py, pz, e FROM sided),
-six AS (SELECT b.seed AS key, 0 AS flag, own.* FROM best b JOIN own ON own.id = b.seed UNION ALL SELECT b.seed, 1, own.* FROM best b JOIN own ON own.id = b.match),
+six AS (SELECT b.{key} AS key, 0 AS flag, own.* FROM {made} b JOIN own ON own.id = b.seed UNION ALL SELECT b.{key}, 1, own.* FROM {made} b JOIN own ON own.id = b.match),
 pairs AS (SELECT key, flag, row_number() OVER (PARTITION BY key ORDER BY pt DESC, flag, j) AS j, pt, eta, phi, m, px, py, pz, e FROM six)
 """
 
+
+def _pair_events(made: str, key: str, names: str) -> str:
+    """The pseudo-events of the pairs of `made`, by halves."""
+    return f"""{_pair_jets(made, key)}, {_axis("pairs", "axis6")}, {_halves("pairs", "CASE WHEN t.flag = 0 THEN 1 ELSE -1 END", "axis6", "halves6")},
+        ht AS (SELECT key, CAST(sum(pt ORDER BY j) AS FLOAT) AS ht FROM pairs GROUP BY key)
+        SELECT {names}, {_r("ht", "HT")}, {_r("a.phi", "thrust_axis_phi")}, {_r("a.thrust", "thrust")}, CAST(CASE WHEN h.side > 0 THEN 0 ELSE 1 END AS INTEGER) AS slot, h.n_jets, 1.0::DOUBLE AS weight, {", ".join(_r("h." + c, c) for c in SUMS)}
+        FROM halves6 h JOIN {made} b ON b.{key} = h.key JOIN axis6 a ON a.key = h.key JOIN ht ON ht.key = h.key"""
+
+
+_TURN = "((t + 1) * 69621 + (t + 1) * (t + 1) * 40503 + 42 * 9973) % 1000003"
+_WITHOUT = lambda pool, place: f"list_transform({pool}[1:len({pool}) - 1], lambda x, j: CASE WHEN j = {place} THEN {pool}[len({pool})] ELSE x END)"
+#: Draws until no uses are left, one step a draw: who is drawn, its nearest open candidate, and what both have left.
+DRAWS = f"""
+b AS (SELECT id, row_number() OVER (ORDER BY id) AS i, {BUDGET} AS budget FROM lib JOIN event_w USING (ev)),
+near AS (SELECT s.i AS seed, list(c.i ORDER BY d2, c.i) AS m, list(sqrt(d2) ORDER BY d2, c.i) AS d FROM edges JOIN b s ON edges.seed = s.id JOIN b c ON edges.match = c.id GROUP BY s.i),
+run(t, uses, pool, paired, s, mm, dd) AS (
+    SELECT 0::BIGINT, list(budget ORDER BY i), coalesce(list(i ORDER BY i) FILTER (budget > 0), []), []::BIGINT[], NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE FROM b
+    UNION ALL
+    SELECT t + 1, uses2, CASE WHEN uses2[gone] = 0 AND place IS NOT NULL THEN {_WITHOUT("pool1", "place")} ELSE pool1 END,
+        CASE WHEN mm IS NULL THEN paired ELSE list_concat(paired, [s * 1000000 + mm, mm * 1000000 + s]) END, s, mm, dd
+    FROM (SELECT *, coalesce(mm, s) AS gone, list_position(pool1, coalesce(mm, s)) AS place,
+            list_transform(uses1, lambda x, j: CASE WHEN j = coalesce(mm, s) THEN CASE WHEN mm IS NULL THEN 0 ELSE x - 1 END ELSE x END) AS uses2
+        FROM (SELECT *, m[x] AS mm, d[x] AS dd
+            FROM (SELECT q.*, near.m, near.d, list_filter(range(1, coalesce(len(near.m), 0) + 1), lambda y: uses1[near.m[y]] > 0 AND NOT list_contains(paired, s * 1000000 + near.m[y]))[1] AS x
+                FROM (SELECT t, paired, s, list_transform(uses, lambda x, j: CASE WHEN j = s THEN x - 1 ELSE x END) AS uses1, CASE WHEN uses[s] = 1 THEN {_WITHOUT("pool", "k")} ELSE pool END AS pool1
+                    FROM (SELECT t, uses, pool, paired, k, pool[k] AS s FROM (SELECT t, uses, pool, paired, 1 + {_TURN} * len(pool) // 1000003 AS k FROM run WHERE len(pool) > 0))) q LEFT JOIN near ON near.seed = q.s)))),
+draws AS (SELECT t - 1 AS draw, x.id AS seed, y.id AS match, dd AS distance FROM run JOIN b x ON x.i = run.s LEFT JOIN b y ON y.i = run.mm WHERE t > 0),
+made AS (SELECT * FROM draws WHERE match IS NOT NULL)
+"""
+_DRAWN = f"WITH RECURSIVE {LIBRARY}, {_edges()}, {WEIGHTS}, {DRAWS}"
+
 SQL = {
     "q01_jet_fourvectors": f"WITH {JETS} SELECT ev, j, {_r('pt * cos(phi)', 'px')}, {_r('pt * sin(phi)', 'py')}, {_r('pt * sinh(eta)', 'pz')}, {_r('sqrt(pt * cosh(eta) * (pt * cosh(eta)) + m * m)', 'energy')} FROM jets",
     "q02_mixer_cutflow": f"WITH {JETS} SELECT count(DISTINCT ev) AS n_read, (SELECT count(*) FROM five) AS n_pass FROM jets",
@@ -132,15 +167,16 @@ SQL = {
     "q20_dataset_labels": """SELECT '/store/' || c_name || '/' AS path, split_part(c_name, '#', 1) AS label FROM customer GROUP BY ALL
         UNION ALL SELECT 'lists/' || p_brand || '_filelist.txt', p_brand FROM part GROUP BY ALL""",
     "q20b_filelist_lines": """SELECT c_mktsegment AS source, CASE c_custkey % 5 WHEN 0 THEN 'root://xcache//store/' || c_name WHEN 2 THEN 'root://host//store/' || c_name END AS path, 'events' AS tree, c_custkey % 5 = 4 AS skipped FROM customer WHERE c_custkey % 5 NOT IN (1, 3)""",
-    "q21_ranked_jets": f"WITH {JETS} SELECT ev, j, {_r('pt', 'pt', 6)} FROM jets",
+    "q21_ranked_jets": f"WITH {LIBRARY}, {_edges()}, {BEST}, {_pair_jets('best', 'seed')} SELECT p.key AS seed, b.match, p.j - 1 AS i, {', '.join(_r('p.' + c, c, 6) for c in ('pt', 'eta', 'phi', 'm'))}, CAST(p.flag AS INTEGER) AS hemisphere FROM pairs p JOIN best b ON b.seed = p.key",
     "q22_layout_round_trip": f"WITH {JETS} SELECT ev, j, {', '.join(_r(c, c, 6) for c in ('pt', 'eta', 'phi', 'm'))} FROM jets",
+    "q23_stitch_draws": f"{_DRAWN} SELECT CAST(1 AS INTEGER) AS job, draw, seed, coalesce(match, -1) AS match, {_r('distance', 'distance')} FROM draws",
+    "q24_pseudo_events": f"{_DRAWN}, {_pair_events('made', 'draw', 'b.draw, b.seed, b.match')}",
     "q25_distance_histogram": f"WITH {LIBRARY}, {_edges()}, {BEST} {_histogram('match_distance', '(SELECT CAST(CAST(distance AS FLOAT) AS DOUBLE) AS d FROM best)', 'd', 100, '0.5::DOUBLE')}",
+    "q26_stitch_cutflow": f"""{_DRAWN} SELECT CAST(1 AS INTEGER) AS job, step, CAST(n AS BIGINT) AS n FROM (SELECT 'hemispheres' AS step, count(*) AS n FROM b UNION ALL SELECT 'total budget', sum(budget) FROM b
+        UNION ALL SELECT 'draws', count(*) FROM draws UNION ALL SELECT 'pseudo-events', count(*) FROM made UNION ALL SELECT 'failed matches', count(*) FROM draws WHERE match IS NULL)""",
     "q27_library_totals": f"""WITH {LIBRARY}, {WEIGHTS}, b AS (SELECT pt, {BUDGET} AS budget FROM lib JOIN event_w USING (ev))
         SELECT count(*) AS n_hemispheres, count(*) FILTER (budget > 0) AS n_available, CAST(sum(budget) AS BIGINT) AS total_budget, {_r("max(pt)", "pt_max")} FROM b""",
-    "q28_best_match_events": f"""WITH {LIBRARY}, {_edges()}, {BEST}, {_PAIR_JETS}, {_axis("pairs", "axis6")}, {_halves("pairs", "CASE WHEN t.flag = 0 THEN 1 ELSE -1 END", "axis6", "halves6")},
-        ht AS (SELECT key, CAST(sum(pt ORDER BY j) AS FLOAT) AS ht FROM pairs GROUP BY key)
-        SELECT h.key AS seed, b.match, {_r("ht", "HT")}, {_r("a.phi", "thrust_axis_phi")}, {_r("a.thrust", "thrust")}, CAST(CASE WHEN h.side > 0 THEN 0 ELSE 1 END AS INTEGER) AS slot, h.n_jets, 1.0::DOUBLE AS weight, {", ".join(_r("h." + c, c) for c in SUMS)}
-        FROM halves6 h JOIN best b ON b.seed = h.key JOIN axis6 a ON a.key = h.key JOIN ht ON ht.key = h.key""",
+    "q28_best_match_events": f"WITH {LIBRARY}, {_edges()}, {BEST}, {_pair_events('best', 'seed', 'b.seed, b.match')}",
     "q29_candidate_edges": f"WITH {LIBRARY}, {_edges()} SELECT seed, count(*) AS candidates, {_r('sqrt(max(d2))', 'farthest')} FROM edges GROUP BY seed",
     "q30_slice_totals": "SELECT o_orderpriority AS slice, o_orderstatus AS file, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY o_orderpriority) AS BIGINT) AS n_original FROM orders GROUP BY 1, 2",
     "q31_merged_filesets": f"WITH {FILES} SELECT slice, path, CASE WHEN substring(path, length(path) - 5, 1) IN ('0', '3', '6', '9') THEN 'Events' ELSE tree END AS tree FROM files WHERE slice LIKE '%BUILD%' OR slice LIKE '%AUTO%' OR slice LIKE '%MACH%'",

@@ -13,6 +13,7 @@ from axisforge.functions import names
 from axisforge.operators import hemisphere, histogram, jobs, match, stitch, thrust, weights
 from axisforge.plans import fixtures, pipeline
 from axisforge.sources import catalog, layout
+from axisforge.sources.scratch import written
 
 DIGITS = 4
 
@@ -38,6 +39,11 @@ def _library(spark: SparkSession, sf: str, weighted: bool = False) -> DataFrame:
     return lib.withColumn("job", F.lit(1)).withColumn("id", F.col("ev") * 2 + F.col("slot"))
 
 
+def _searched(spark: SparkSession, sf: str) -> DataFrame:
+    """The library as a table, for plans that read it twice and more."""
+    return written(_library(spark, sf), "library")
+
+
 def _edges(lib: DataFrame, max_distance: float | None = 0.5, pt_tolerance: float | None = 0.10) -> DataFrame:
     return match.candidate_edges(lib, lib, ["job"], max_distance, pt_tolerance)
 
@@ -108,25 +114,25 @@ def _best(lib: DataFrame, k: int = 1, **how) -> DataFrame:
 
 
 def q12_nearest_partner(spark, sf):
-    return _rounded(_best(_library(spark, sf)).select("seed", "match", "distance"), "distance")
+    return _rounded(_best(_searched(spark, sf)).select("seed", "match", "distance"), "distance")
 
 
 def q13_nearest_partner_any_pt(spark, sf):
-    return _rounded(_best(_library(spark, sf), pt_tolerance=None).select("seed", "match", "distance"), "distance")
+    return _rounded(_best(_searched(spark, sf), pt_tolerance=None).select("seed", "match", "distance"), "distance")
 
 
 def q14_three_nearest(spark, sf):
-    return _rounded(_best(_library(spark, sf), 3).select("seed", "rank", "match", "distance"), "distance")
+    return _rounded(_best(_searched(spark, sf), 3).select("seed", "rank", "match", "distance"), "distance")
 
 
 def q15_unordered_pairs(spark, sf):
-    pairs = match.unordered_pairs(_best(_library(spark, sf)), ["job"])
+    pairs = match.unordered_pairs(_best(_searched(spark, sf)), ["job"])
     return _rounded(pairs.select("a", "b", "distance", "mutual"), "distance")
 
 
 def q15b_next_partner(spark, sf):
     """The nearest partner after the pairs that the best matches have made, in either direction, are taken."""
-    edges = _edges(_library(spark, sf))
+    edges = _edges(_searched(spark, sf))
     made = match.unordered_pairs(match.nearest(edges, ["job"]), ["job"]).select("job", "a", "b")
     left = edges.withColumn("a", F.least("seed", "match")).withColumn("b", F.greatest("seed", "match")).join(made, ["job", "a", "b"], "left_anti")
     return _rounded(match.nearest(left, ["job"]).select("seed", "match", "distance"), "distance")
@@ -172,9 +178,15 @@ def q20b_filelist_lines(spark, sf):
     return catalog.filelist_lines(c.select(F.col("c_mktsegment").alias("source"), value.alias("value"))).select("source", "path", "tree", "skipped")
 
 
+def _best_events(spark, sf):
+    lib = _searched(spark, sf)
+    return stitch.pseudo_events(_best(lib).select("job", "seed", "match", "distance"), lib.select("job", "id", "jets"), ["job"])
+
+
 def q21_ranked_jets(spark, sf):
-    j = fixtures.jets(fixtures.events(spark, sf))
-    return _rounded(j.select("ev", "j", "pt"), "pt", digits=6)
+    """The jets of pseudo-events in their order, by falling pt."""
+    jets = _best_events(spark, sf).select("seed", "match", F.posexplode("jets").alias("i", "x"))
+    return _rounded(jets.select("seed", "match", F.col("i").cast("long").alias("i"), "x.*"), "pt", "eta", "phi", "m", digits=6)
 
 
 def q22_layout_round_trip(spark, sf):
@@ -183,22 +195,32 @@ def q22_layout_round_trip(spark, sf):
     return _rounded(fixtures.jets(again.select("ev", "jets")), "pt", "eta", "phi", "m", digits=6)
 
 
-def _stitched(spark, sf):
+def _stitched(spark, sf, random="hash"):
     mixed = _mixed(spark, sf, weighted=True).withColumn("job", F.lit(1))
-    return pipeline.stitched(mixed, "job", ["ev"], StitchConfig())
+    return pipeline.stitched(mixed, "job", ["ev"], StitchConfig(), random)
 
 
 def q23_stitch_draws(spark, sf):
-    return _stitched(spark, sf).draws
+    """All draws; match is -1 where none was found."""
+    return _rounded(_stitched(spark, sf).draws.withColumn("match", F.coalesce("match", F.lit(-1).cast("long"))), "distance")
+
+
+def q23b_sequential_draws(spark, sf):
+    """Draws by the random generator of the default."""
+    return _stitched(spark, sf, "pcg64").draws
+
+
+def _halves(events, *keys):
+    halves = events.select(*keys, "HT", "thrust_axis_phi", "thrust", F.posexplode("Hemisphere").alias("slot", "h")).select(*keys, "HT", "thrust_axis_phi", "thrust", "slot", "h.*")
+    return _rounded(halves.drop("side"), "HT", "thrust_axis_phi", "thrust", *hemisphere.SUMS, "partner_eta", "weight")
 
 
 def q24_pseudo_events(spark, sf):
-    e = _stitched(spark, sf).events
-    return e.select("draw", "seed", "match", "distance", "jets", "HT", "thrust_axis_phi", "thrust", "Hemisphere")
+    return _halves(_stitched(spark, sf).events, "draw", "seed", "match")
 
 
 def q25_distance_histogram(spark, sf):
-    best = _best(_library(spark, sf)).select(F.col("distance").cast("float").alias("match_distance"))
+    best = _best(_searched(spark, sf)).select(F.col("distance").cast("float").alias("match_distance"))
     return _rounded(histogram.histogram(best, "match_distance", 100, 0.0, 0.5, "match_distance"), "low", "high")
 
 
@@ -213,14 +235,11 @@ def q27_library_totals(spark, sf):
 
 
 def q28_best_match_events(spark, sf):
-    lib = _library(spark, sf)
-    e = stitch.pseudo_events(_best(lib).select("job", "seed", "match", "distance"), lib.select("job", "id", "jets"), ["job"])
-    halves = e.select("seed", "match", "HT", "thrust_axis_phi", "thrust", F.posexplode("Hemisphere").alias("slot", "h")).select("seed", "match", "HT", "thrust_axis_phi", "thrust", "slot", "h.*")
-    return _rounded(halves.drop("side"), "HT", "thrust_axis_phi", "thrust", *hemisphere.SUMS, "partner_eta", "weight")
+    return _halves(_best_events(spark, sf), "seed", "match")
 
 
 def q29_candidate_edges(spark, sf):
-    return _edges(_library(spark, sf)).groupBy("seed").agg(F.count(F.lit(1)).alias("candidates"), _r(F.sqrt(F.max("d2"))).alias("farthest"))
+    return _edges(_searched(spark, sf)).groupBy("seed").agg(F.count(F.lit(1)).alias("candidates"), _r(F.sqrt(F.max("d2"))).alias("farthest"))
 
 
 def q30_slice_totals(spark, sf):
