@@ -395,24 +395,24 @@ def near_classes(docs: DataFrame, key: str, text: str = "text", similar: float =
     near = F.abs(F.col("sx") - F.col("sy")) <= 1 - similar + 1e-9
     met = x.join(y, "band").where((F.col("cx") != F.col("cy")) & (F.col("iy") | (F.col("x") < F.col("y"))) & near)
     pairs = written(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-pairs")
-    more = written(similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b"), "near-more")
-    if not more.isEmpty():
-        classes = _joined_classes(classes, more)
+    links = written(similarities(pairs, sets, total_docs).where(F.col("similarity") >= similar).select("a", "b"), "near-more")
 
     many = rest.where(F.col("members") > CROWD)
     crowds = written(components(many.select(F.col("a"), F.col("doc_id").alias("b")).distinct()), "near-crowds")
     crowds = crowds.select(F.col("node").alias("doc_id"), F.col("component").alias("crowd"))
-    while not crowds.isEmpty():
-        ends = written(_with_class(crowds, classes, "doc_id", "class"), "near-ends")
-        large = crowd_sizes(ends).where(F.col("all") - F.col("most") > BLOCK)
-        links = written(leader_links(ends, sets, total_docs, similar), "near-more") if not large.isEmpty() else None
-        # A leader that joins few shows that its crowd is no cluster: blocks do the rest.
-        if links is None or links.count() < BLOCK:
-            more = block_links(ends, sets, total_docs, similar)
-            links = written(more if links is None else more.unionByName(links), "near-more")
-            return classes if links.isEmpty() else _joined_classes(classes, links)
-        classes = _joined_classes(classes, links)
-    return classes
+    if not crowds.isEmpty():
+        while True:
+            ends = written(_with_class(crowds, classes, "doc_id", "class"), "near-ends")
+            if crowd_sizes(ends).where(F.col("all") - F.col("most") > BLOCK).isEmpty():
+                break
+            led = written(leader_links(ends, sets, total_docs, similar), "near-more")
+            # A leader that joins few shows that its crowd is no cluster: blocks do the rest.
+            if led.count() < BLOCK:
+                links = links.unionByName(led)
+                break
+            classes = _joined_classes(classes, led)
+        links = written(links.unionByName(block_links(ends, sets, total_docs, similar)), "near-more")
+    return classes if links.isEmpty() else _joined_classes(classes, links)
 
 
 def _keys(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, bool]:

@@ -53,7 +53,9 @@ def test_query_equals_sql(spark, name):
     compare(spark, SF, QUERIES[name], SQL[name])
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_EDGES", few)
     g = random.Random(4)
     edges = [(g.randrange(60), g.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(20)] + [(7, 7), (None, 3)]
     parent = {}
