@@ -188,7 +188,7 @@ def weighted_sets(docs: DataFrame, doc_id: str, text: str, similar: float) -> Da
         kinds = pdf["kind"].to_numpy()
         totals = [unpack(b) for b in pdf["blob"][kinds == 1]]
         cols = [(own[local], h, n, df) for own, local, h, n, df in map(unpack, pdf["blob"][kinds == 0])]
-        empty = pd.DataFrame({"doc_id": [], "total": [], "shared": [], "bands": []})
+        empty = pd.DataFrame({"doc_id": [], "total": [], "shared": [], "bands": []}, dtype=object)
         if not cols:
             return empty
         d, h, n, df = map(np.concatenate, zip(*cols, strict=True))
