@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from axisforge.functions import kinematics as K
+from axisforge.operators import search
 
 #: Buckets are widened by this share, so that rounding loses no pair at their edges; the exact conditions follow.
 SLACK = 1e-9
@@ -82,6 +87,67 @@ def nearest(edges: DataFrame, scope: list[str], k: int = 1) -> DataFrame:
     return edges.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(*scope, "seed", "match", F.sqrt("d2").alias("distance"), "rank")
 
 
+def _tiles(max_distance: float | None, pt_tolerance: float | None):
+    """As _buckets the other way round, and wider: for each key the tile of a seed, and the tiles whose seeds may have a candidate."""
+    out = []
+    if max_distance is not None and max_distance > 0:
+        n = min(12, max(1, math.floor(K.TWO_PI / (2 * max_distance))))
+        width, reach, wide = K.TWO_PI / n, max_distance * (1 + SLACK) + SLACK, max(0.5, 2 * max_distance)
+        own, d, e = F.pmod(_cell(F.col("query"), width), F.lit(n)), F.col("direction"), F.col("eta")
+        out.append((own, F.array_distinct(F.transform(_cells(d - reach, d + reach, width), lambda c: F.pmod(c, F.lit(n))))))
+        out.append((_cell(F.col("partner_eta"), wide), _cells(e - reach, e + reach, wide)))
+    if pt_tolerance is not None and 0 < pt_tolerance < 1:
+        width = max(0.4, -4 * math.log(1 - pt_tolerance))
+        log = F.log(F.when(F.col("pt") > 0, F.col("pt")))
+        low, high = -math.log(1 + pt_tolerance) - SLACK, -math.log(1 - pt_tolerance) + SLACK
+        none = F.lit(-(1 << 40))
+        out.append((F.coalesce(_cell(log, width), none), F.coalesce(_cells(log + low, log + high, width), F.array(none))))
+    return out
+
+
+def nearest_candidates(seeds: DataFrame, lib: DataFrame, scope: list[str], k: int | str = 1, max_distance: float | None = 0.5, pt_tolerance: float | None = 0.10, event: str = "ev") -> DataFrame:
+    """(scope, seed, match, distance, rank): nearest(candidate_edges(..), scope, k), without making the edges.
+
+    k: a number, or a column of seeds. A tile of seeds and all that may be their candidates are
+    a task's, which searches them by a tree: work and memory grow with the rows and k, not with
+    the candidates that a seed has.
+    """
+    fine = lambda *cs: [F.col(c).isNotNull() & ~F.isnan(c) for c in cs]
+    asked = (F.col(k) if isinstance(k, str) else F.lit(k)).cast("long").alias("_k")
+    seeds, lib = seeds.select(*scope, "id", event, "pt", "query", "partner_eta", asked), lib.select(*scope, "id", event, "pt", "direction", "eta")
+    for condition in fine("pt", "query", "partner_eta"):
+        seeds = seeds.where(condition)
+    for condition in fine("pt", "direction", "eta"):
+        lib = lib.where(condition)
+    tiles = _tiles(max_distance, pt_tolerance)
+    for i, (own, reached) in enumerate(tiles):
+        seeds, lib = seeds.withColumn(f"_b{i}", own), lib.withColumn(f"_b{i}", F.explode(reached))
+    on = [*scope, *[f"_b{i}" for i in range(len(tiles))]]
+    s, c = (df.select(*on, F.col("id").alias(name), F.col(event).alias("_e"), *[F.col(x).cast("double").alias(x) for x in own], *more) for df, name, own, more in ((seeds, "seed", ("pt", "query", "partner_eta"), ["_k"]), (lib, "match", ("pt", "direction", "eta"), [])))
+    c = c.select(*[F.col(x).alias(f"_c{i}") for i, x in enumerate(on)], "match", "_e", "pt", "direction", "eta")
+    types = {f.name: f.dataType for f in seeds.schema.fields}
+    schema = T.StructType([*(T.StructField(x, types[x]) for x in scope), T.StructField("seed", types["id"]), T.StructField("match", types["id"]), T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        numbers = lambda t, *cs: {x: t[x].to_numpy() for x in cs}
+        # Events and ids as numbers, ids in their order.
+        e = pd.factorize(np.concatenate([left["_e"].to_pandas().to_numpy(), right["_e"].to_pandas().to_numpy()]))[0]
+        r = pd.factorize(np.concatenate([left["seed"].to_pandas().to_numpy(), right["match"].to_pandas().to_numpy()]), sort=True)[0]
+        n = left.num_rows
+        a, b, d2 = search.nearest(
+            numbers(left, "pt", "query", "partner_eta") | {"event": e[:n], "rank": r[:n], "k": left["_k"].to_numpy()},
+            numbers(right, "pt", "direction", "eta") | {"event": e[n:], "rank": r[n:]}, max_distance, pt_tolerance,
+        )
+        turn = np.arange(len(a)) - np.flatnonzero(np.append(True, a[1:] != a[:-1])[: len(a)])[np.cumsum(np.append(True, a[1:] != a[:-1])[: len(a)]) - 1] + 1
+        at = pa.array(a)
+        return pa.table({**{x: left[x].take(at) for x in scope}, "seed": left["seed"].take(at), "match": right["match"].take(pa.array(b)), "distance": np.sqrt(d2), "rank": turn.astype(np.int32)})
+
+    if not on:  # a tile for all
+        s, c = s.withColumn("_b", F.lit(0)), c.withColumn("_c", F.lit(0))
+        return s.groupBy("_b").cogroup(c.groupBy("_c")).applyInArrow(run, schema)
+    return s.groupBy(*on).cogroup(c.groupBy(*[f"_c{i}" for i in range(len(on))])).applyInArrow(run, schema)
+
+
 def unordered_pairs(best: DataFrame, scope: list[str]) -> DataFrame:
     """(scope, a, b, distance, mutual): each unordered pair of the best matches once, with the distance of the lower seed's side that chose it."""
     pairs = best.select(*scope, F.least("seed", "match").alias("a"), F.greatest("seed", "match").alias("b"), F.col("seed"), "distance")
