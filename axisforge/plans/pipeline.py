@@ -57,9 +57,8 @@ def stitched(mixed: DataFrame, scope: str, keys: list[str], config: StitchConfig
 
     keys identify an event within a library, in its order. random: `pcg64` draws budgets and
     seeds one after another; with `hash` budgets depend on the event and side, and draws on
-    their turn. The library, its candidate edges and the draws are written once, so that all
-    results agree. A library's edges, about as many as the square of its hemispheres over the
-    room that max_distance and pt_tolerance leave, must fit one task: jobs bound a library.
+    their turn. The library and the draws are written once, so that all results agree. A
+    library is one task, which holds a few hundred bytes for each hemisphere; jobs bound it.
     """
     config = config or StitchConfig()
     lib = hemisphere.library(mixed, [scope, *keys], config.jets_per_hemisphere, jets)
@@ -67,8 +66,8 @@ def stitched(mixed: DataFrame, scope: str, keys: list[str], config: StitchConfig
     if random == "hash":
         lib = lib.withColumn("budget", hash_budget(F.col("weight"), F.col("ev"), F.col("side"), config.seed))
     lib = written(lib, "library")
-    edges = written(match.candidate_edges(lib, lib, [scope], config.max_distance, config.pt_tolerance), "library-edges")
-    draws = written(stitch.stitch(lib, edges, scope, config.seed, random), "library-draws")
+    near = match.nearest_candidates(lib, lib, [scope], stitch.NEAR, config.max_distance, config.pt_tolerance)
+    draws = written(stitch.stitch_nearest(lib, near, scope, config.seed, random, config.max_distance, config.pt_tolerance), "library-draws")
     events = stitch.pseudo_events(draws, lib, [scope], config.scan_points)
     found = draws.where(F.col("match").isNotNull()).select(F.col("distance").cast("float").alias("match_distance"))
     high = config.max_distance if config.max_distance is not None else 10.0

@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from axisforge.operators import match, search
+from axisforge.operators import match, search, stitch
+from axisforge.plans import pipeline
 from axisforge.plans.queries import QUERIES
 
 from .conftest import SF
@@ -47,3 +49,35 @@ def test_work_grows_with_the_rows_and_not_with_the_candidates(monkeypatch, spots
 def test_no_query_of_nearest_partners_sorts_all_edges(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+@pytest.mark.parametrize("near", [1, 3, 8])
+def test_draws_from_few_candidates_are_those_from_all_edges(near):
+    seeds, lib = crowd(400, 40)
+    budgets = np.random.default_rng(2).choice([0, 1, 1, 2, 9], 400)
+    edges = lambda k: search.nearest(seeds | {"k": np.full(400, k)}, lib, 0.5, 0.3)
+    s, m, d2 = edges(400)
+    want = stitch.resolve(budgets, np.random.default_rng(1), s, m, np.sqrt(d2))
+    s, m, _ = edges(near)
+    library = {**lib, "query": seeds["query"], "partner_eta": seeds["partner_eta"]}
+    got = stitch.resolve_nearest(budgets, np.random.default_rng(1), library, stitch.Lists(400, s, m, near), 0.5, 0.3, near)
+    assert [(a, -1 if b is None else b) for a, b, _ in want] == list(zip(*(x.tolist() for x in got)))
+
+
+@pytest.mark.parametrize("random", ["hash", "pcg64"])
+def test_libraries_are_stitched_without_their_edges(spark, random):
+    parts = [random_library(np.random.default_rng(i), 150).assign(job=j) for i, j in enumerate(["a", "b", None])]
+    parts[0].loc[3, "eta"] = np.nan
+    df = spark.createDataFrame(pd.concat(parts), "job string, id bigint, ev bigint, pt double, direction double, query double, eta double, partner_eta double, weight double").where("job is not null")
+    df = df.withColumn("budget", F.ceil("weight")) if random == "hash" else df
+    want = stitch.stitch(df, match.candidate_edges(df, df, ["job"], 1.0, 0.3), "job", 42, random)
+    near = match.nearest_candidates(df, df, ["job"], stitch.NEAR, 1.0, 0.3)
+    got = stitch.stitch_nearest(df, near, "job", 42, random, 1.0, 0.3)
+    assert got.orderBy("job", "draw").collect() == want.orderBy("job", "draw").collect() != []
+
+
+@pytest.mark.parametrize("name", ["q23_stitch_draws", "q23b_sequential_draws", "q24_pseudo_events", "q26_stitch_cutflow"])
+def test_no_query_of_draws_writes_all_edges(spark, name, monkeypatch):
+    made, write = [], pipeline.written
+    monkeypatch.setattr(pipeline, "written", lambda df, table: (made.append(table), write(df, table))[1])
+    assert QUERIES[name](spark, SF).count() >= 0 and made == ["library", "library-draws"]
