@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -112,9 +114,54 @@ def nearest_candidates(seeds: DataFrame, lib: DataFrame, scope: list[str], k: in
     a task's, which searches them by a tree: work and memory grow with the rows and k, not with
     the candidates that a seed has.
     """
-    fine = lambda *cs: [F.col(c).isNotNull() & ~F.isnan(c) for c in cs]
+    types = {f.name: f.dataType for f in seeds.schema.fields}
+    schema = T.StructType([*(T.StructField(x, types[x]) for x in scope), T.StructField("seed", types["id"]), T.StructField("match", types["id"]), T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        s, c = _numbers(left, right)
+        a, b, d2 = search.nearest(s | {"k": left["_k"].to_numpy()}, c, max_distance, pt_tolerance)
+        turn = np.arange(len(a)) - np.flatnonzero(np.append(True, a[1:] != a[:-1])[: len(a)])[np.cumsum(np.append(True, a[1:] != a[:-1])[: len(a)]) - 1] + 1
+        at = pa.array(a)
+        return pa.table({**{x: left[x].take(at) for x in scope}, "seed": left["seed"].take(at), "match": right["match"].take(pa.array(b)), "distance": np.sqrt(d2), "rank": turn.astype(np.int32)})
+
     asked = (F.col(k) if isinstance(k, str) else F.lit(k)).cast("long").alias("_k")
-    seeds, lib = seeds.select(*scope, "id", event, "pt", "query", "partner_eta", asked), lib.select(*scope, "id", event, "pt", "direction", "eta")
+    return _by_tiles(seeds, lib, scope, max_distance, pt_tolerance, event, [asked], run, schema)
+
+
+def candidate_totals(seeds: DataFrame, lib: DataFrame, scope: list[str], max_distance: float | None = 0.5, pt_tolerance: float | None = 0.10, event: str = "ev") -> DataFrame:
+    """(scope, seed, candidates, farthest): how many candidate_edges(..) a seed has, and the largest distance of them, without making the edges.
+
+    Seeds without any have no row. Tiles are those of nearest_candidates, and a grid counts whole
+    cells of candidates. Coordinates that aren't finite match nothing. Candidates of a seed's own
+    event, of which there are few, are taken off one by one.
+    """
+    types = {f.name: f.dataType for f in seeds.schema.fields}
+    schema = T.StructType([*(T.StructField(x, types[x]) for x in scope), T.StructField("seed", types["id"]), T.StructField("candidates", T.LongType()), T.StructField("farthest", T.DoubleType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        count, d2 = search.totals(*_numbers(left, right), max_distance, pt_tolerance)
+        some = np.flatnonzero(count)
+        at = pa.array(some)
+        return pa.table({**{x: left[x].take(at) for x in scope}, "seed": left["seed"].take(at), "candidates": count[some], "farthest": np.sqrt(d2[some])})
+
+    there = lambda df, *cs: df.where(" and ".join(f"{c} is not null" for c in ("id", *scope))).where(reduce(and_, (F.abs(c) < math.inf for c in cs)))
+    return _by_tiles(there(seeds, "pt", "query", "partner_eta"), there(lib, "pt", "direction", "eta"), scope, max_distance, pt_tolerance, event, [], run, schema)
+
+
+def _numbers(left: pa.Table, right: pa.Table) -> tuple[dict, dict]:
+    """A tile's seeds and candidates for the search: events and ids as numbers, ids in their order."""
+    numbers = lambda t, *cs: {x: t[x].to_numpy() for x in cs}
+    e = pd.factorize(np.concatenate([left["_e"].to_pandas().to_numpy(), right["_e"].to_pandas().to_numpy()]))[0]
+    r = pd.factorize(np.concatenate([left["seed"].to_pandas().to_numpy(), right["match"].to_pandas().to_numpy()]), sort=True)[0]
+    n = left.num_rows
+    return numbers(left, "pt", "query", "partner_eta") | {"event": e[:n], "rank": r[:n]}, numbers(right, "pt", "direction", "eta") | {"event": e[n:], "rank": r[n:]}
+
+
+def _by_tiles(seeds: DataFrame, lib: DataFrame, scope: list[str], max_distance: float | None, pt_tolerance: float | None, event: str, more: list[Column], run, schema: T.StructType) -> DataFrame:
+    """run(seeds, candidates) for each tile of seeds and all that may be their candidates; more: further columns of seeds."""
+    fine = lambda *cs: [F.col(c).isNotNull() & ~F.isnan(c) for c in cs]
+    seeds, lib = seeds.select(*scope, "id", event, "pt", "query", "partner_eta", *more), lib.select(*scope, "id", event, "pt", "direction", "eta")
+    asked = seeds.columns[len(scope) + 5 :]
     for condition in fine("pt", "query", "partner_eta"):
         seeds = seeds.where(condition)
     for condition in fine("pt", "direction", "eta"):
@@ -123,25 +170,8 @@ def nearest_candidates(seeds: DataFrame, lib: DataFrame, scope: list[str], k: in
     for i, (own, reached) in enumerate(tiles):
         seeds, lib = seeds.withColumn(f"_b{i}", own), lib.withColumn(f"_b{i}", F.explode(reached))
     on = [*scope, *[f"_b{i}" for i in range(len(tiles))]]
-    s, c = (df.select(*on, F.col("id").alias(name), F.col(event).alias("_e"), *[F.col(x).cast("double").alias(x) for x in own], *more) for df, name, own, more in ((seeds, "seed", ("pt", "query", "partner_eta"), ["_k"]), (lib, "match", ("pt", "direction", "eta"), [])))
+    s, c = (df.select(*on, F.col("id").alias(name), F.col(event).alias("_e"), *[F.col(x).cast("double").alias(x) for x in own], *others) for df, name, own, others in ((seeds, "seed", ("pt", "query", "partner_eta"), asked), (lib, "match", ("pt", "direction", "eta"), [])))
     c = c.select(*[F.col(x).alias(f"_c{i}") for i, x in enumerate(on)], "match", "_e", "pt", "direction", "eta")
-    types = {f.name: f.dataType for f in seeds.schema.fields}
-    schema = T.StructType([*(T.StructField(x, types[x]) for x in scope), T.StructField("seed", types["id"]), T.StructField("match", types["id"]), T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        numbers = lambda t, *cs: {x: t[x].to_numpy() for x in cs}
-        # Events and ids as numbers, ids in their order.
-        e = pd.factorize(np.concatenate([left["_e"].to_pandas().to_numpy(), right["_e"].to_pandas().to_numpy()]))[0]
-        r = pd.factorize(np.concatenate([left["seed"].to_pandas().to_numpy(), right["match"].to_pandas().to_numpy()]), sort=True)[0]
-        n = left.num_rows
-        a, b, d2 = search.nearest(
-            numbers(left, "pt", "query", "partner_eta") | {"event": e[:n], "rank": r[:n], "k": left["_k"].to_numpy()},
-            numbers(right, "pt", "direction", "eta") | {"event": e[n:], "rank": r[n:]}, max_distance, pt_tolerance,
-        )
-        turn = np.arange(len(a)) - np.flatnonzero(np.append(True, a[1:] != a[:-1])[: len(a)])[np.cumsum(np.append(True, a[1:] != a[:-1])[: len(a)]) - 1] + 1
-        at = pa.array(a)
-        return pa.table({**{x: left[x].take(at) for x in scope}, "seed": left["seed"].take(at), "match": right["match"].take(pa.array(b)), "distance": np.sqrt(d2), "rank": turn.astype(np.int32)})
-
     if not on:  # a tile for all
         s, c = s.withColumn("_b", F.lit(0)), c.withColumn("_c", F.lit(0))
         return s.groupBy("_b").cogroup(c.groupBy("_c")).applyInArrow(run, schema)

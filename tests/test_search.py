@@ -81,3 +81,51 @@ def test_no_query_of_draws_writes_all_edges(spark, name, monkeypatch):
     made, write = [], pipeline.written
     monkeypatch.setattr(pipeline, "written", lambda df, table: (made.append(table), write(df, table))[1])
     assert QUERIES[name](spark, SF).count() >= 0 and made == ["library", "library-draws"]
+
+
+@pytest.mark.parametrize("distance,tolerance", LIMITS)
+def test_candidate_totals_are_those_of_all_edges(spark, distance, tolerance):
+    lib = pd.concat([random_library(np.random.default_rng(i), 120).assign(job=j) for i, j in enumerate(["a", "b"])])
+    lib.loc[7, "eta"], lib.loc[8, "query"] = np.nan, np.nan
+    df = spark.createDataFrame(lib).withColumn("ev", F.when(F.col("ev") % 5 > 0, F.col("ev")))
+    edges = match.candidate_edges(df, df, ["job"], distance, tolerance)
+    want = edges.groupBy("job", "seed").agg(F.count(F.lit(1)).alias("candidates"), F.sqrt(F.max("d2")).alias("farthest"))
+    got = match.candidate_totals(df, df, ["job"], distance, tolerance)
+    assert sorted(got.collect()) == sorted(want.select(got.columns).collect()) != []
+
+
+@pytest.mark.parametrize("distance,tolerance", [*LIMITS, (None, None), (0.0, 0.3), (0.05, 0.0)])
+@pytest.mark.parametrize("spots", [None, 12, 1])
+@pytest.mark.parametrize("band,pairs", [(128, 1_000_000), (8, 256)])
+def test_counts_by_cells_equal_a_scan(monkeypatch, distance, tolerance, spots, band, pairs):
+    monkeypatch.setattr(search, "BAND", band)
+    monkeypatch.setattr(search, "PAIRS", pairs)
+    seeds, lib = crowd(300, spots)
+    seeds["query"][:100], seeds["partner_eta"][:100] = lib["direction"][:100], lib["eta"][:100]  # on a spot, as an event's own other half is
+    seeds["pt"][:5], lib["pt"][3:8] = 0, 0
+    seeds["event"][200:] = -1
+    got = search.totals(seeds, lib, distance, tolerance)
+    for i in range(300):
+        d2 = search.distance_squared(lib["direction"], seeds["query"][i], lib["eta"], seeds["partner_eta"][i])
+        there = (lib["rank"] != seeds["rank"][i]) & ((seeds["event"][i] < 0) | (lib["event"] != seeds["event"][i]))
+        there &= True if tolerance is None else np.abs(lib["pt"] - seeds["pt"][i]) <= tolerance * seeds["pt"][i]
+        there &= True if distance is None else np.sqrt(d2) <= distance
+        assert (got[0][i], got[1][i]) == (there.sum(), d2[there].max(initial=-1))
+
+
+@pytest.mark.parametrize("spots", [None, 20])
+@pytest.mark.parametrize("tolerance", [0.1, None])
+def test_counting_compares_few_of_the_candidates(monkeypatch, spots, tolerance):
+    seen, exact = [], search.distance_squared
+    monkeypatch.setattr(search, "distance_squared", lambda d, *a: (seen.append(len(d)), exact(d, *a))[1])
+    work = []
+    for n in (2000, 16000):
+        seen.clear()
+        search.totals(*crowd(n, spots), 0.5, tolerance)
+        work.append(sum(seen))
+    assert work[1] < 24 * work[0]  # 8 times the rows, and the edges of a cell's border; all edges would be 64 times as many
+
+
+def test_the_query_of_edges_counts_them_without_making_them(spark):
+    plan = QUERIES["q29_candidate_edges"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "FlatMapCoGroupsInArrow" in plan
